@@ -1,0 +1,142 @@
+"""Quality rules and secret scans against plain Python."""
+
+import hashlib
+import math
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from coevo.llm import quality_rules as Q
+from coevo.llm import registry, secrets
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_statistics(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines, seen, dup = text.split("\n"), set(), 0
+    for x in lines:
+        if WORD.search(x):
+            dup += x in seen
+            seen.add(x)
+    windows = [tuple(words[k:k + 3]) for k in range(len(words) - 2)]
+    covered = {k + i for k, w in enumerate(windows) if windows.count(w) > 1 for i in range(3)} if len(windows) < 3000 else None
+    if covered is None:
+        from collections import Counter
+
+        n = Counter(windows)
+        covered = {k + i for k, w in enumerate(windows) if n[w] > 1 for i in range(3)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered))
+
+
+def test_statistics(edge_docs, sample, no_docs):
+    docs = edge_docs.unionByName(sample.withColumn("doc_id", F.col("doc_id") + 1000)).withColumn("n_words", F.lit("clash"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = Q.text_statistics(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = plain_statistics(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+    assert Q.apply_rules(no_docs, []).collect() == []
+
+
+def test_learns_a_planted_rule():
+    r = random.Random(1)
+    rows = [([x := r.random(), y := r.random()], x > 0.7 and y <= 0.5) for _ in range(900)]
+    rules = Q.learn_list(rows, ["a", "b"])
+    hit = [any(all((v[["a", "b"].index(c.feature)] > c.value) == c.above for c in u.conditions) for u in rules) for v, _ in rows]
+    assert sum(h == y for h, (_, y) in zip(hit, rows)) > 0.95 * len(rows)
+    assert Q.learn_list([], ["a"]) == [] and Q.learn_list([([1.0], False)] * 50, ["a"]) == []
+
+
+def test_no_labels_keeps_all_that_pass(spark, sample):
+    none = spark.createDataFrame([(None, 0, 0), (5, None, 1), (10**9, 1, 0)], "doc_id long, quality int, toxic int")
+    rules = Q.fit_rules(sample, none)
+    assert rules == []
+    assert all(r.kept != r.base_failed for r in Q.apply_rules(sample, rules).collect())
+
+
+def test_rules_hold_on_other_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    rules = Q.fit_rules(docs.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 0"))
+    got = Q.apply_rules(docs, rules).join(labels.where("doc_id % 2 = 1"), "doc_id").where("NOT base_failed")
+    n = got.agg(F.sum((F.col("kept") == (F.col("quality") == 1)).cast("int")).alias("ok"), F.count("*").alias("n")).first()
+    assert n.ok > 0.9 * n.n
+
+
+ASSIGN = re.compile(r"(?:(?:%s))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)" % "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")))
+
+
+def plain_base(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def plain_added(text, base):
+    out = []
+    for m in re.finditer(secrets.CANDIDATE, text or ""):
+        s = m[0]
+        if not re.search("[0-9]", s) or any(re.search(p, s) for p in secrets.ALLOWED) or any(a <= m.start() and m.end() <= b for a, _, b in base):
+            continue
+        best = 0.0
+        for k in range(len(s) - secrets.WINDOW + 1):
+            w = s[k:k + secrets.WINDOW]
+            best = max(best, -sum(w.count(c) / len(w) * math.log2(w.count(c) / len(w)) for c in set(w)))
+        limit = secrets.THRESHOLDS["hex" if re.fullmatch("[0-9A-Fa-f]+", s) else "key"]
+        if best >= limit - 1e-12:
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def test_spans(spark, edge_docs, no_docs):
+    r = random.Random(2)
+    letters = "AKIa0f=:' +tokensecret_passwd_-9Zq/\n"
+    own = [(2000 + k, "".join(r.choice(letters) for _ in range(200)) + r.choice(["token= ", "SECRET:", " api_key='"]) + "".join(r.choice("abcdef0123456789XYZ+/") for _ in range(r.randint(1, 60))), None, None, 0) for k in range(300)]
+    docs = edge_docs.unionByName(spark.createDataFrame(own, edge_docs.schema)).withColumn("base", F.lit(1))
+    texts = {x.doc_id: x.text for x in docs.collect()}
+    names = secrets.KINDS
+    n = 0
+    for x in secrets.secret_spans(docs).collect():
+        base = plain_base(texts[x.doc_id])
+        assert [(s.start, s.kind, s.stop) for s in x.base] == base
+        assert [(s.start, s.kind, s.stop) for s in x.added] == plain_added(texts[x.doc_id], base)
+        n += len(x.added)
+    assert n > 5
+    assert secrets.secret_spans(no_docs).collect() == []
+    assert names[3] == "entropy"
+
+
+def test_redaction_takes_all_spans(edge_docs):
+    before = {x.doc_id: x for x in edge_docs.collect()}
+    after = secrets.redact(edge_docs)
+    assert after.columns == edge_docs.columns
+    for x in after.collect():
+        old = before[x.doc_id].text
+        base = plain_base(old)
+        spans = sorted([*base, *plain_added(old, base)])
+        if old is None or not spans:
+            assert x.text == old
+            continue
+        want, at = "", 0
+        for a, _, b in spans:
+            if a >= at:
+                want += old[at:a] + "[SECRET]"
+            at = max(at, b)
+        assert x.text == want + old[at:]
+
+
+def test_query_columns(spark):
+    rows = registry.op10_secret_entropy(spark, "/root/testdata/sf0.001").collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert len(rows) == len(docs)
+    for r in rows:
+        base = plain_base(docs[r.doc_id])
+        text = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in base) for i in range(3))
