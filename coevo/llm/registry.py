@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality_rules, secrets
+from . import bpe, embeddings, importance, language_id, packing, quality_rules, secrets, simhash
 from .common import table
 
 
@@ -36,10 +36,32 @@ def op10_secret_entropy(spark, sf_dir):
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(every).alias("spans"))
 
 
+def op5_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_hyperdimensional_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    langs, prototypes = language_id.fit(docs.where(~held_out))
+    got = language_id.predict(docs, langs, prototypes)
+    return got.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_simhash_variants(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_projection_passes(spark, sf_dir):
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
 def op9_bpe_tree(spark, sf_dir):
     got = bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_large_item_packing, op2_packed_matrices, op3_decision_list, op9_bpe_tree, op10_secret_entropy)}
+QUERIES = {f.__name__: f for f in (op1_large_item_packing, op2_packed_matrices, op3_decision_list, op5_importance_resampling, op6_hyperdimensional_language, op7_simhash_variants, op8_projection_passes, op9_bpe_tree, op10_secret_entropy)}
 ORACLES: dict[str, str] = {}
