@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, importance, language_id, packing, quality_rules, secrets, simhash
+from . import bpe, embeddings, importance, language_id, packing, quality_rules, secrets, simhash, suffix_dedup
 from .common import table
 
 
@@ -36,6 +36,12 @@ def op10_secret_entropy(spark, sf_dir):
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(every).alias("spans"))
 
 
+def op4_suffix_arrays(spark, sf_dir):
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return done.select(F.col("row.doc_id").alias("doc_id"), (F.octet_length("kept") + gone).cast("long").alias("n_bytes"), gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_importance_resampling(spark, sf_dir):
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,5 +69,5 @@ def op9_bpe_tree(spark, sf_dir):
     return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_large_item_packing, op2_packed_matrices, op3_decision_list, op5_importance_resampling, op6_hyperdimensional_language, op7_simhash_variants, op8_projection_passes, op9_bpe_tree, op10_secret_entropy)}
+QUERIES = {f.__name__: f for f in (op1_large_item_packing, op2_packed_matrices, op3_decision_list, op4_suffix_arrays, op5_importance_resampling, op6_hyperdimensional_language, op7_simhash_variants, op8_projection_passes, op9_bpe_tree, op10_secret_entropy)}
 ORACLES: dict[str, str] = {}
