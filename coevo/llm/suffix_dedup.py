@@ -1,7 +1,7 @@
 """Removal of repeated byte strings by per-shard suffix arrays.
 
-Every 100-byte window of a text belongs to its smallest 32-byte gram by hash (the first of equals), so equal windows
-belong to equal grams wherever they stand. Consecutive windows of one gram form a segment of at most 168 bytes;
+Every 100-byte window of a text belongs to its smallest 24-byte gram by hash (the first of equals), so equal windows
+belong to equal grams wherever they stand. Consecutive windows of one gram form a segment of at most 176 bytes;
 segments are dealt to shards by their gram, and all equal windows meet in one shard. Segments are packed and
 compressed per block of documents and shard; equal segments of a block travel once, with all their places.
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM = 100, 24
 BLOCK_BYTES = 4 << 20
 #: Bytes of distinct strings in one suffix array.
 RUN_BYTES = 2 << 20
@@ -41,10 +41,10 @@ _PLACE = _RNG.integers(1, 1 << 63, (2, 256), np.uint64) | np.uint64(1)
 
 
 def gram_hashes(buf: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the 32 bytes from each position."""
+    """A 64-bit hash of the 24 bytes from each position: those of 16 bytes and of the 16 that end 8 later."""
     h = _BYTE[buf]
     with np.errstate(over="ignore"):
-        for level, k in enumerate((1, 2, 4, 8, 16)):
+        for level, k in enumerate((1, 2, 4, 8, 8)):
             x = h[:-k] * _STEP[level]
             x += h[k:]
             x ^= x >> np.uint64(29)
@@ -55,14 +55,14 @@ def gram_hashes(buf: np.ndarray) -> np.ndarray:
 
 
 def segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
-    """(gram hash, first window, last window, document) of each segment, in order, of documents joined in buf."""
+    """(gram hash, gram's place, first window, last window, document) of each segment, in order, of documents joined in buf."""
     grams = gram_hashes(buf)
     low = (grams & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(grams), dtype=np.uint64)
     k = 1
     while k < 64:
         low = np.minimum(low[:-k], low[k:])
         k *= 2
-    low = np.minimum(low[:-5], low[5:])  # 69 grams begin in a window
+    low = np.minimum(low[:-13], low[13:])  # 77 grams begin in a window
     anchor = (low & np.uint64(0xFFFFFF)).astype(np.int64)
     n = np.maximum(sizes - LENGTH + 1, 0)
     doc = np.repeat(np.arange(len(sizes)), n)
@@ -72,7 +72,7 @@ def segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
     new[1:] = (a[1:] != a[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
-    return grams[a[first]], at[first], at[last], doc[first]
+    return grams[a[first]], a[first], at[first], at[last], doc[first]
 
 
 def _take(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -108,18 +108,23 @@ def _first_of(which: np.ndarray, order: np.ndarray) -> np.ndarray:
     return order[np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))] if len(w) else order
 
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, which pack better; modulo 2^32."""
+    return np.diff(x, prepend=0).astype("<i8").astype("<u4")
+
+
 def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shift=0):
     """(shard, blob) rows of a block: distinct segments and their places. shift: where each piece begins in its document."""
     import zstandard
 
-    gram, first, last, doc = segments(buf, starts, sizes)
+    gram, anchor, first, last, doc = segments(buf, starts, sizes)
     if not len(gram):
         return
     size = last - first + LENGTH
     shard = (gram >> np.uint64(40)).astype(np.int64) % shards
     order = np.argsort(shard, kind="stable")
     cuts = np.flatnonzero(np.concatenate([[True], np.diff(shard[order]) != 0, [True]]))
-    press = zstandard.ZstdCompressor(level=3)
+    press = zstandard.ZstdCompressor(level=6)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         own = order[a:b]
         data = _take(buf, first[own], size[own])
@@ -130,11 +135,10 @@ def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shi
         number[which[pick]] = np.arange(len(pick))
         if len(pick) < len(own):
             data = _take(buf, first[own[pick]], size[own[pick]])
-        g = gram[own[pick]]
         docs, at = np.unique(doc[own], return_inverse=True)
         parts = [
-            (g >> np.uint64(32)).astype("<u4"), (g & np.uint64(0xFFFFFFFF)).astype("<u4"), size[own[pick]].astype("u1"),
-            number[which].astype("<u4"), at.astype("<u4"), (first[own] - (starts - shift)[doc[own]]).astype("<u4"),
+            size[own[pick]].astype("u1"), (anchor - first)[own[pick]].astype("u1"),
+            _steps(number[which]), _steps(at), _steps(first[own] - (starts - shift)[doc[own]]),
             doc_id[docs].astype("<i8"), doc_key[docs].astype("<i8"), data]
         head = struct.pack("<3I", len(pick), len(own), len(docs))
         yield int(shard[own[0]]), press.compress(head + b"".join(p.tobytes() for p in parts))
@@ -153,11 +157,12 @@ def _unpack(blob: bytes):
         at += out.nbytes
         return out
 
-    high, low, size = read("<u4", n), read("<u4", n), read("u1", n).astype(np.int64)
-    gram = (high.astype(np.uint64) << np.uint64(32)) | low
-    seg, doc, pos = (read("<u4", places).astype(np.int64) for _ in range(3))
+    size, anchor = read("u1", n).astype(np.int64), read("u1", n).astype(np.int64)
+    seg, doc, pos = (np.cumsum(read("<u4", places), dtype=np.uint32).astype(np.int64) for _ in range(3))
     ids, keys = read("<i8", docs), read("<i8", docs)
-    return gram, size, seg, pos, ids[doc], keys[doc], np.frombuffer(raw, np.uint8, len(raw) - at, at)
+    data = np.frombuffer(raw, np.uint8, len(raw) - at, at)
+    gram = gram_hashes(_take(data, np.cumsum(size) - size + anchor, np.full(n, GRAM)))[::GRAM]
+    return gram, size, seg, pos, ids[doc], keys[doc], data
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -413,19 +418,34 @@ def merged(spans: list[int] | np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _squeezed(batches):
+    """The fourth column compressed, so that texts take little room on their way to the join."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        packed = [press.compress(b) for b in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["row", "_id", "_key", "_bytes"])
+
+
 def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs' columns, and removed (array of start, stop in bytes) and kept (the remaining bytes of the text)."""
     found = repeated_spans(docs, shards, block_bytes)
     left = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     left = left.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), "_key", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes")).drop("text")
     left = left.withColumn("row", F.col("row").dropFields("text")) if len(docs.columns) > 1 else left
+    left = left.mapInArrow(_squeezed, f"row {dict(left.dtypes)['row']}, _id {dict(left.dtypes)['_id']}, _key long, _bytes binary")
     right = found.select(F.col("doc_id").alias("_id2"), F.col("text_key").alias("_key2"), "spans")
     both = left.join(right, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left")
 
     def cut(batches):
+        import zstandard
+
+        press = zstandard.ZstdDecompressor()
         for batch in batches:
             kept, removed = [], []
-            for data, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for packed, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                data = press.decompress(packed)
                 runs = merged(spans) if spans else []
                 at, parts = 0, []
                 for a, b in runs:
