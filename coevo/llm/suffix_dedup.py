@@ -13,7 +13,7 @@ advances together. Windows with a common prefix of 100 bytes are equal; all but
 gram has more strings than a run may hold, its runs are merged by binary search: each run's earliest
 windows are looked up in the other runs' suffix arrays, and the later one of a match repeats the earlier.
 
-Order is (doc_id, then the text's hash for rows that share a doc_id, start). Defined results: null text is empty;
+Order is (doc_id, then 32 bits of the text's hash for rows that share a doc_id, start). Defined results: null text is empty;
 texts under 100 bytes are left whole; a null doc_id comes before all others; rows equal in doc_id and text get the
 same spans; an empty table gives no rows; extra columns are carried by ``remove_repeats``.
 """
@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LENGTH, GRAM = 100, 24
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 #: Bytes of distinct strings in one suffix array.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 #: Bytes of segments that a shard is planned for.
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 32 << 20
 
 _RNG = np.random.default_rng(4)
 _BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64)
@@ -75,20 +75,33 @@ def segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
     return grams[a[first]], a[first], at[first], at[last], doc[first]
 
 
+def _parts(size: np.ndarray, most: int = 8192):
+    """Ranges of strings whose index arrays stay small."""
+    return [(a, min(a + most, len(size))) for a in range(0, len(size), most)]
+
+
 def _take(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     ends = np.cumsum(size)
-    return buf[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)]
+    out = np.empty(int(ends[-1]) if len(ends) else 0, buf.dtype)
+    for a, b in _parts(size):
+        lo, hi = int(ends[a] - size[a]), int(ends[b - 1])
+        out[lo:hi] = buf[np.arange(lo, hi) + np.repeat(start[a:b] - (ends[a:b] - size[a:b]), size[a:b])]
+    return out
 
 
 def content_hashes(data: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Two independent multilinear hashes of each string in data, as rows."""
-    if not len(size):
-        return np.empty((2, 0), np.uint64)
-    starts = np.cumsum(size) - size
-    place = np.arange(len(data)) - np.repeat(starts, size)
-    value = data.astype(np.uint64) + np.uint64(1)
-    with np.errstate(over="ignore"):
-        return np.stack([np.add.reduceat(value * p[place], starts) for p in _PLACE])
+    out = np.empty((2, len(size)), np.uint64)
+    ends = np.cumsum(size)
+    for a, b in _parts(size):
+        lo, hi = int(ends[a] - size[a]), int(ends[b - 1])
+        starts = ends[a:b] - size[a:b] - lo
+        place = np.arange(hi - lo) - np.repeat(starts, size[a:b])
+        value = data[lo:hi].astype(np.uint64) + np.uint64(1)
+        with np.errstate(over="ignore"):
+            for k, p in enumerate(_PLACE):
+                out[k, a:b] = np.add.reduceat(value * p[place], starts)
+    return out
 
 
 def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +152,7 @@ def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shi
         parts = [
             size[own[pick]].astype("u1"), (anchor - first)[own[pick]].astype("u1"),
             _steps(number[which]), _steps(at), _steps(first[own] - (starts - shift)[doc[own]]),
-            doc_id[docs].astype("<i8"), doc_key[docs].astype("<i8"), data]
+            np.diff(doc_id[docs], prepend=0).astype("<i8"), doc_key[docs].astype("<u4"), data]
         head = struct.pack("<3I", len(pick), len(own), len(docs))
         yield int(shard[own[0]]), press.compress(head + b"".join(p.tobytes() for p in parts))
 
@@ -159,7 +172,7 @@ def _unpack(blob: bytes):
 
     size, anchor = read("u1", n).astype(np.int64), read("u1", n).astype(np.int64)
     seg, doc, pos = (np.cumsum(read("<u4", places), dtype=np.uint32).astype(np.int64) for _ in range(3))
-    ids, keys = read("<i8", docs), read("<i8", docs)
+    ids, keys = np.cumsum(read("<i8", docs)), read("<u4", docs).astype(np.int64)
     data = np.frombuffer(raw, np.uint8, len(raw) - at, at)
     gram = gram_hashes(_take(data, np.cumsum(size) - size + anchor, np.full(n, GRAM)))[::GRAM]
     return gram, size, seg, pos, ids[doc], keys[doc], data
@@ -279,7 +292,7 @@ def shard_repeats(blobs: list[bytes], run_bytes: int = RUN_BYTES):
     seg = np.concatenate([g[2] + b for g, b in zip(got, base)])
     pos, ids, keys = (np.concatenate([g[k] for g in got]) for k in (3, 4, 5))
     data = np.concatenate([g[6] for g in got])
-    del got
+    got.clear()
     offset = np.cumsum(size) - size
     # segments whose gram stands in one place only have no equal window
     _, inverse = np.unique(gram, return_inverse=True)
@@ -357,7 +370,7 @@ def repeated_spans(docs: DataFrame, shards: int | None = None, block_bytes: int
         def flush():
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             buf = np.frombuffer(b"".join(texts), np.uint8)
-            key = np.array(keys, np.uint64).view(np.int64)
+            key = np.array(keys, np.int64)
             rows = list(pack_block(buf, np.cumsum(sizes) - sizes, sizes, np.array(ids, np.int64), key, shards, np.array(shift)))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "blob"])
 
@@ -367,7 +380,7 @@ def repeated_spans(docs: DataFrame, shards: int | None = None, block_bytes: int
                 if t is None or t.size < LENGTH:
                     continue
                 t = t.to_pybytes()
-                key = xxh64_intdigest(t, 42)
+                key = xxh64_intdigest(t, 42) & 0xFFFFFFFF
                 # a document longer than a block goes in pieces that share no window
                 for at in range(0, len(t) - LENGTH + 1, block_bytes):
                     piece = t[at:at + block_bytes + LENGTH - 1]
@@ -431,7 +444,7 @@ def _squeezed(batches):
 def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs' columns, and removed (array of start, stop in bytes) and kept (the remaining bytes of the text)."""
     found = repeated_spans(docs, shards, block_bytes)
-    left = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    left = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)))
     left = left.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), "_key", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes")).drop("text")
     left = left.withColumn("row", F.col("row").dropFields("text")) if len(docs.columns) > 1 else left
     left = left.mapInArrow(_squeezed, f"row {dict(left.dtypes)['row']}, _id {dict(left.dtypes)['_id']}, _key long, _bytes binary")
