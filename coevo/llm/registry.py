@@ -70,4 +70,26 @@ def op9_bpe_tree(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_large_item_packing, op2_packed_matrices, op3_decision_list, op4_suffix_arrays, op5_importance_resampling, op6_hyperdimensional_language, op7_simhash_variants, op8_projection_passes, op9_bpe_tree, op10_secret_entropy)}
-ORACLES: dict[str, str] = {}
+#: The other operators have no SQL form; tests/llm holds them against brute force.
+ORACLES: dict[str, str] = {
+    "op8_projection_passes": """
+        WITH RECURSIVE able AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+        ),
+        reach(node, other) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION
+            SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+        ),
+        least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node),
+        counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+        FROM embeddings e JOIN least l ON l.node = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id
+    """,
+}
