@@ -174,7 +174,10 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> li
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     stats = with_features(text_statistics(docs.join(F.broadcast(chosen), "doc_id", "left_semi")))
     names = list(FEATURES)
-    got = stats.join(F.broadcast(chosen), "doc_id").where("NOT base_failed").orderBy(F.xxhash64("doc_id"), "doc_id").select(*names, "quality").collect()
+    # filtered and sorted on the driver, over sample_rows at most: Spark would push the filter below the semi-join
+    # and so compute the statistics of all rows, and a sort would sample its input and compute them once more
+    got = stats.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("_h"), "doc_id", "quality", "base_failed", *names).collect()
+    got = sorted((r for r in got if not r.base_failed), key=tuple)
     return learn_list([([float(r[n]) for n in names], r.quality == 0) for r in got], names)
 
 
