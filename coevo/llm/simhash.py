@@ -170,3 +170,138 @@ def keep_first(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFra
     """docs without the rows whose near-duplicate group has a smaller doc_id; rows with a null doc_id stay."""
     gone = near_duplicates(docs, words, bits).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
+#: Bands of minima per document and minima in each: a pair of Jaccard similarity s shares a band with probability
+#: 1 - (1 - s^ROWS)^BANDS, 0.9993 at 0.8.
+BANDS, ROWS = 24, 6
+#: Shingle sets in a block of exact comparison, and shingles counted at once.
+BLOCK, PART = 256, 4096
+_MIX = np.random.default_rng(7).integers(1, 1 << 63, (BANDS, ROWS, 2), np.uint64) | np.uint64(1)
+
+
+def bands(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """int64 (sets, BANDS): a hash of each band's minima, for sets of hashes joined in flat, none of them empty."""
+    starts = np.cumsum(counts) - counts
+    out = np.zeros((len(counts), BANDS), np.uint64)
+    with np.errstate(over="ignore"):
+        for band in range(BANDS):
+            for plus, times in _MIX[band]:
+                least = np.minimum.reduceat((flat ^ plus) * times, starts)
+                least ^= least >> np.uint64(31)
+                out[:, band] = (out[:, band] + least) * times
+            out[:, band] = (out[:, band] ^ (out[:, band] >> np.uint64(29))) * np.uint64(2 * band + 1)
+    return out.view(np.int64)
+
+
+def with_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, fp, key, bands, shingles) for every row of docs: its distinct shingle hashes in order, and a hash of them."""
+
+    def run(batches):
+        from hashlib import blake2b
+
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in blocks(texts, 1_000_000):
+                sets = [np.unique(np.array(shingle_hashes(t, words), np.uint64)) for t in texts[a:b]]
+                counts = np.fromiter(map(len, sets), np.int64, len(sets))
+                some = np.flatnonzero(counts)
+                keys = bands(np.concatenate(sets), counts[some]).tolist() if len(some) else []
+                found = [[] for _ in sets]
+                for k, row in zip(some.tolist(), keys):
+                    found[k] = row
+                raw = [s.astype("<u8").tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(a, b - a), pa.array(fingerprints(texts[a:b], words).view(np.int64)), pa.array([blake2b(r, digest_size=16).hexdigest() for r in raw]),
+                    pa.array(found, pa.list_(pa.int64())), pa.array(raw, pa.binary())], names=["doc_id", "fp", "key", "bands", "shingles"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long, key string, bands array<long>, shingles binary")
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two sets have in common."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, which, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(often > 1) - 1
+    held = often[which] > 1
+    owner, column = owner[held], number[which[held]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, PART):
+        a, b = np.searchsorted(column, [first, first + PART])
+        m = np.zeros((len(sets), int(column[b - 1]) - first + 1), np.float32)
+        m[owner[a:b], column[a:b] - first] = 1
+        out += m @ m.T
+    return out
+
+
+def _similar_links(batches, threshold: float):
+    """Rows (task, node, shingles) sorted by task: links that connect all pairs of a task with that Jaccard similarity."""
+
+    def compare(rows):
+        sets = [np.frombuffer(r[2], "<u8") for r in rows]
+        size = np.array([len(s) for s in sets], np.float64)
+        common = _shared(sets)
+        near = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
+        a, b, left = [], [], np.arange(len(rows))
+        while len(left):
+            queue, left = [left[0]], left[1:]
+            while queue and len(left):
+                k = queue.pop()
+                hit = near[k, left]
+                a += [rows[k][1]] * int(hit.sum())
+                b += [rows[x][1] for x in left[hit]]
+                queue += left[hit].tolist()
+                left = left[~hit]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if held and row[0] != held[0][0]:
+                yield compare(held)
+                held = []
+            held.append(row)
+    if held:
+        yield compare(held)
+
+
+def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) for every row: groups of documents linked by a Jaccard similarity of their distinct shingles.
+
+    Candidates are what the deletion variants link and what shares a band of minima, since fingerprints of 64 bits
+    are too far apart at 0.8; only coarse groups of candidates are compared, all their pairs exactly and in blocks.
+    Equal sets are one node, texts without words are equal, and a null doc_id links with nothing.
+    """
+    found = stored(with_sets(docs, words), "sets")
+    able = found.where("doc_id IS NOT NULL")
+    owner = stored(able.groupBy("key").agg(F.min("doc_id").alias("id"), F.min("fp").alias("fp")).withColumn("node", F.xxhash64("key")), "nodes")
+    sets = able.join(owner.select("key", F.col("id").alias("doc_id"), "node"), ["key", "doc_id"]).where("octet_length(shingles) > 0").dropDuplicates(["key"])
+    sets = stored(sets.select("node", "fp", "bands", "shingles"), "distinct")
+
+    def band_links(batches):
+        for key, node in sorted_runs(batches, 2):
+            cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            first = np.repeat(node[cuts], np.diff(np.append(cuts, len(key))))
+            yield pa.RecordBatch.from_arrays([pa.array(first[first != node]), pa.array(node[first != node])], names=["a", "b"])
+
+    banded = sets.select(F.explode("bands").alias("band"), "node").repartition("band").sortWithinPartitions("band", "node").mapInArrow(band_links, "a long, b long")
+    coarse = stored(components(banded.union(near_links(sets.select("fp", "node")))), "coarse")
+    size = coarse.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("n"))
+    dealt = coarse.join(size, "component").join(sets.select("node", "shingles"), "node").withColumn("i", F.pmod(F.xxhash64("node"), F.col("n")))
+    dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    task = F.concat_ws(":", "component", F.least("i", "j"), F.greatest("i", "j"))
+    dealt = dealt.select(task.alias("task"), "node", "shingles").repartition("task").sortWithinPartitions("task", "node")
+    fine = stored(components(dealt.mapInArrow(lambda b: _similar_links(b, threshold), "a long, b long")), "similar")
+    grouped = owner.join(fine, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    least = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
+    named = grouped.join(least, "group").select("key", "component_id")
+    out = found.select("doc_id", "key").join(named, "key", "left")
+    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def keep_similar(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
+    """docs without the rows whose group of similar documents has a smaller doc_id; rows with a null doc_id stay."""
+    gone = similar(docs, words, threshold).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])

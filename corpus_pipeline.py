@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: that with the smallest doc_id. Shingles of five words."""
-    return simhash.keep_first(docs, words=5)
+    """Of documents linked by a Jaccard similarity of 0.8 of their five-word shingles the one with the smallest doc_id stays."""
+    return simhash.keep_similar(docs, words=5, threshold=0.8)
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
