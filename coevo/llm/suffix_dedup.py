@@ -14,8 +14,8 @@ gram has more strings than a run may hold, its runs are merged by binary search:
 windows are looked up in the other runs' suffix arrays, and the later one of a match repeats the earlier.
 
 Order is (doc_id, then 32 bits of the text's hash for rows that share a doc_id, start). Defined results: null text is empty;
-texts under 100 bytes are left whole; a null doc_id comes before all others; rows equal in doc_id and text get the
-same spans; an empty table gives no rows; extra columns are carried by ``remove_repeats``.
+texts under 100 bytes are left whole; a null doc_id comes before all others; rows equal in doc_id and text are one
+place, so they get the same spans and none for repeating each other; an empty table gives no rows; extra columns are carried by ``remove_repeats``.
 """
 
 from __future__ import annotations
@@ -251,7 +251,8 @@ class Run:
             by = np.lexsort((own, group))
             first = np.ones(len(by), bool)
             first[1:] = group[by][1:] != group[by][:-1]
-            self.repeats[sa[by[~first]]] = True
+            least = own[by[first]][np.cumsum(first) - 1]
+            self.repeats[sa[by[own[by] > least]]] = True
             self.heads = sa[by[first]]  # the earliest of each group, in suffix order
         else:
             self.heads = sa
@@ -279,9 +280,8 @@ class Run:
             hit = np.minimum(low, len(self.heads) - 1)
             same = (self.text[self.heads[hit][:, None] + np.arange(LENGTH)] == rows).all(1)
             mine, theirs = self.heads[hit[same]], ask[same]
-            later = self.order[mine] > other.order[theirs]
-            self.repeats[mine[later]] = True
-            other.repeats[theirs[~later]] = True
+            self.repeats[mine[self.order[mine] > other.order[theirs]]] = True
+            other.repeats[theirs[self.order[mine] < other.order[theirs]]] = True
 
 
 def shard_repeats(blobs: list[bytes], run_bytes: int = RUN_BYTES):
@@ -294,9 +294,16 @@ def shard_repeats(blobs: list[bytes], run_bytes: int = RUN_BYTES):
     data = np.concatenate([g[6] for g in got])
     got.clear()
     offset = np.cumsum(size) - size
-    # segments whose gram stands in one place only have no equal window
+    # segments whose gram stands in one place only have no equal window; repeated rows are one place
     _, inverse = np.unique(gram, return_inverse=True)
-    often = np.bincount(inverse[seg])[inverse] > 1
+    many = np.flatnonzero((np.bincount(inverse[seg]) > 1)[inverse[seg]])
+    doc, _ = _distinct(ids[many], keys[many])
+    order = np.zeros(len(seg), np.int64)
+    order[many] = (doc << 32) | pos[many]
+    by = many[np.lexsort((order[many], inverse[seg[many]]))]
+    new = np.ones(len(by), bool)
+    new[1:] = (np.diff(inverse[seg[by]]) != 0) | (np.diff(order[by]) != 0)
+    often = np.bincount(inverse[seg[by[new]]], minlength=len(gram))[inverse] > 1
     keep = np.flatnonzero(often)
     if not len(keep):
         return
@@ -304,20 +311,18 @@ def shard_repeats(blobs: list[bytes], run_bytes: int = RUN_BYTES):
     renumber = np.full(len(gram), -1)
     renumber[keep] = np.arange(len(keep))
     used = renumber[seg] >= 0
-    seg, pos, ids, keys = renumber[seg[used]], pos[used], ids[used], keys[used]
+    seg, pos, ids, keys, order = renumber[seg[used]], pos[used], ids[used], keys[used], order[used]
     gram, size = gram[keep], size[keep]
     h = content_hashes(data, size)
     which, by = _distinct(gram, size, h[0], h[1])
     pick = _first_of(which, by)  # one segment per class, by gram
     offset = np.cumsum(size) - size
-    doc, _ = _distinct(ids, keys)
-    order = (doc << 32) | pos
     cls = which[seg]
     sort = np.lexsort((order, cls))
     head = np.ones(len(sort), bool)
     head[1:] = cls[sort][1:] != cls[sort][:-1]
     earliest = sort[head]  # by class
-    rest = sort[~head]
+    rest = sort[order[sort] > order[earliest][cls[sort]]]
     yield ids[rest], keys[rest], pos[rest], pos[rest] + size[pick][cls[rest]] - LENGTH + 1
 
     size, gram, offset = size[pick], gram[pick], offset[pick]

@@ -104,3 +104,22 @@ def test_query(spark):
         r = rows.pop(d)
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(kept) + sum(b - a for a, b in runs), sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept).hexdigest())
     assert not rows
+
+
+def test_repeated_rows_keep_their_text(spark):
+    docs = [(d, t) for d, t in cases() if d is not None]
+    twice = docs + [(d, t) for d, t in docs if d % 2]
+    r = np.random.default_rng(9)
+    alone = " ".join(str(x) for x in r.integers(0, 10**9, 60))
+    twice += [(None, alone), (None, alone), (300, "q" + alone[::-1]), (300, "q" + alone[::-1])]
+    frame = spark.createDataFrame(twice, "doc_id long, text string")
+    want = sorted(((-1 if d is None else d), runs, kept) for d, runs, kept in plain(list(dict.fromkeys(twice))))
+    for args in ((), (5, 333)):
+        rows = S.remove_repeats(frame, *args).collect()
+        got = sorted((-1 if x.row.doc_id is None else x.row.doc_id, [(s.start, s.stop) for s in x.removed], bytes(x.kept)) for x in rows)
+        assert len(got) == len(twice)
+        assert sorted({(d, tuple(runs), kept) for d, runs, kept in got}) == sorted({(d, tuple(runs), kept) for d, runs, kept in want})
+    # merged runs, where one gram has more strings than a run holds
+    one, two = (S.Run(np.frombuffer(alone.encode(), np.uint8), np.where(np.arange(len(alone)) <= len(alone) - 100, np.arange(len(alone)), -1)) for _ in range(2))
+    one.merge(two)
+    assert not one.repeats.any() and not two.repeats.any()
