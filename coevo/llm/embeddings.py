@@ -2,8 +2,9 @@
 
 Each pass hashes a vector to 64 bits, one sign per random direction, and orders all vectors by the bits in
 turn; near vectors share long beginnings. Each task compares a sorted range in blocks with the block before
-and verifies by cosine. Passes grow with the logarithm of the input, since an order must then agree on more
-bits. What leaves a window is a spanning forest of its verified pairs; the union of all passes gives groups.
+and verifies by cosine. Passes come in batches that grow with the logarithm of the input, since an order must then
+agree on more bits; where vectors lie dense a window holds few of a vector's neighbours, so batches go on until the
+last half of all passes has joined no two groups. What leaves a window is a spanning forest of its verified pairs; the union of all passes gives groups.
 Within a group every pair is then compared exactly, in blocks of bounded size dealt over tasks, so links
 are counted in full however large the group; no pair list is ever written. Equal vectors are one node.
 
@@ -69,7 +70,7 @@ def _forest(hits: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _window_links(batches, threshold: float):
+def _window_links(batches, threshold: float, window: int = WINDOW):
     """Links from rows sorted by (pass, key): each block against itself and the block before."""
     before: tuple = ()
     held: list[tuple] = []
@@ -92,7 +93,7 @@ def _window_links(batches, threshold: float):
 
     for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if held and (row[0] != held[0][0] or len(held) == WINDOW):
+            if held and (row[0] != held[0][0] or len(held) == window):
                 yield compare(held)
                 if row[0] != held[0][0]:
                     before = ()
@@ -131,28 +132,38 @@ def _group_links(batches, threshold: float):
         yield count(held)
 
 
-def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, passes: int | None = None) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, passes: int | None = None, window: int = WINDOW) -> DataFrame:
     """(id, n_links, component_id) for every row."""
     every = stored(_vectors(df, id_col, vector_col).withColumn("h", F.sha2("vec", 256)), "vectors")
     able = every.where("vec IS NOT NULL AND id IS NOT NULL")
     nodes = stored(able.groupBy("h").agg(F.min("id").alias("node"), F.count("*").alias("copies"), F.max("vec").alias("vec")), "nodes")
-    if passes is None:
-        passes = max(12, int(nodes.count()).bit_length())
+    step = passes if passes is not None else max(12, int(nodes.count()).bit_length())
 
-    def project(batches):
+    def project(batches, first):
         for batch in batches:
             node, blobs = batch.column(0), batch.column(1).to_pylist()
             for dim in {len(b) for b in blobs}:
                 at = [k for k, b in enumerate(blobs) if len(b) == dim]
                 own = batch.take(pa.array(at))
                 unit = _unit([blobs[k] for k in at])
-                for p in range(passes):
+                for p in range(first, first + step):
                     yield pa.RecordBatch.from_arrays([pa.array([p] * len(at), pa.int32()), own.column(0), own.column(1), pa.array(sort_keys(unit, p))], names=["pass", "node", "vec", "key"])
 
-    keyed = nodes.select("node", "vec").mapInArrow(project, "pass int, node long, vec binary, key long")
-    ordered = keyed.repartitionByRange("pass", "key", "node").sortWithinPartitions("pass", "key", "node").select("pass", "node", "vec")
-    links = ordered.mapInArrow(lambda b: _window_links(b, threshold), "a long, b long")
-    grouped = stored(components(links), "groups")
+    def links_from(first):
+        keyed = nodes.select("node", "vec").mapInArrow(lambda b: project(b, first), "pass int, node long, vec binary, key long")
+        ordered = keyed.repartitionByRange("pass", "key", "node").sortWithinPartitions("pass", "key", "node").select("pass", "node", "vec")
+        return ordered.mapInArrow(lambda b: _window_links(b, threshold, window), "a long, b long")
+
+    grouped = stored(components(links_from(0)), "groups")
+    done = last = step
+    joined = grouped.where("node <> component").count()
+    while passes is None and done < 2 * last:
+        known = grouped.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        grouped = stored(components(known.union(links_from(done))), "groups")
+        before, joined = joined, grouped.where("node <> component").count()
+        done += step
+        if joined > before:
+            last = done
     blocks = grouped.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("n"))
     own = grouped.join(blocks, "component").join(nodes.select("node", "copies", "vec"), "node").withColumn("i", F.pmod(F.xxhash64("node"), F.col("n")))
     dealt = own.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))

@@ -111,3 +111,19 @@ def test_embedding_recall(spark):
     got = {r.vec_id: r.n_links for r in rows}
     assert all(got[k] <= want[k] for k in ids)
     assert sum(got.values()) >= 0.9 * sum(want.values())
+
+
+def test_embedding_recall_in_a_dense_range(spark):
+    """Rows around one centre, many times a window, with planted pairs at cosine 0.91 among them."""
+    r = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    hot = unit(0.8**0.5 * unit(r.standard_normal((1, 64))) + 0.2**0.5 * unit(r.standard_normal((500, 64))))
+    side = r.standard_normal((200, 64))
+    side = unit(side - (side * hot[:200]).sum(1, keepdims=True) * hot[:200])
+    x = np.concatenate([hot, 0.91 * hot[:200] + (1 - 0.91**2) ** 0.5 * side])
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    joined = []
+    for passes in (12, None):
+        got = {k.vec_id: k.component_id for k in E.near_duplicates(df, passes=passes, window=8).collect()}
+        joined.append(sum(got[k] == got[500 + k] for k in range(200)))
+    assert joined[0] < 195 and joined[1] >= 198
