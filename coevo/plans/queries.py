@@ -447,6 +447,6 @@ def give_up(spark, sf_dir):
 
 @query()
 def fit_sites(spark, sf_dir):
-    """Scores of the first twelve columns by fitted pseudo-likelihood."""
-    rows = weighted(spark, sf_dir).select(F.lit("a").alias("pair"), F.slice("codes", 1, 12).alias("codes"), "weight")
+    """Scores of all columns by fitted pseudo-likelihood."""
+    rows = weighted(spark, sf_dir).select(F.lit("a").alias("pair"), "codes", "weight")
     return fit.scores_of(fit.fit_sites(rows, blocks=6)).select("pos1", "pos2", F.round("score", 5).alias("score"))
