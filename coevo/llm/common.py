@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 import tempfile
 import uuid
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
+#: What a Python worker keeps between tasks, by the operator that needs it.
+_KEPT: dict[str, list] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = tempfile.mkdtemp(prefix="coevo-")
@@ -36,6 +43,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep(operator: str, held):
+    """Register a dict or list that ``operator`` keeps between tasks; returns it."""
+    _KEPT.setdefault(operator, []).append(held)
+    return held
+
+
+def enter(operator: str) -> None:
+    """Called as a task begins: a worker that served other operators before lets go of what they kept."""
+    other = [h for name, kept in _KEPT.items() if name != operator for h in kept if h]
+    if not other:
+        return
+    for h in other:
+        h.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class WordTable(dict):
     """word -> row number of a growing flat table of small arrays, one per word.
 

@@ -1,43 +1,53 @@
 """Removal of repeated byte strings by per-shard suffix arrays.
 
-Every 100-byte window of a text belongs to its smallest 24-byte gram by hash (the first of equals), so equal windows
-belong to equal grams wherever they stand. Consecutive windows of one gram form a segment of at most 176 bytes;
-segments are dealt to shards by their gram, and all equal windows meet in one shard. Segments are packed and
-compressed per block of documents and shard; equal segments of a block travel once, with all their places.
-
-A shard drops segments whose gram stands in one place only, and keeps one string per distinct segment with its
-earliest place; all windows of the other places repeat it. The distinct strings are cut into runs of bounded size
-for which a suffix array is built: Larsson-Sadakane refinement (order by 8 bytes, then sort only the groups that are
-still equal by the rank of what follows, doubling the depth) and Kasai's common prefixes, in lanes that numpy
-advances together. Windows with a common prefix of 100 bytes are equal; all but the earliest repeat it. Where one
-gram has more strings than a run may hold, its runs are merged by binary search: each run's earliest
-windows are looked up in the other runs' suffix arrays, and the later one of a match repeats the earlier.
+An input shard is a block of documents. Its suffix array is built by Larsson-Sadakane refinement (order by 8 bytes,
+then sort only the groups that are still equal by the rank of what follows, doubling the depth) and Kasai's common
+prefixes, in lanes that numpy advances together. Windows with a common prefix of 100 bytes are equal: all but the
+earliest repeat it and become spans at once, so one place per distinct window leaves an input shard.
+
+What is left meets the other input shards. Every 100-byte window belongs to its smallest 24-byte gram by hash (the
+first of equals), so equal windows belong to equal grams wherever they stand; consecutive windows of one gram form a
+segment of at most 176 bytes, and segments are dealt to merge tasks by their gram. A gram that a sample of documents
+shows to be so common that its segments would swamp a task is dealt by the window's smallest other gram as well. A
+merge task drops segments whose gram stands in one place only, builds a suffix array for each run of input shards'
+segments, and merges the runs pairwise: binary search finds one side's windows in the other's sorted windows, byte by
+byte, the later of two equal windows repeats the earlier, and the earlier ones stay as one sorted list. It does so whenever
+it holds ``MERGE_BYTES``, and goes on with the windows that are left, so copies of one passage don't add up in memory.
 
 Order is (doc_id, then 32 bits of the text's hash for rows that share a doc_id, start). Defined results: null text is empty;
-texts under 100 bytes are left whole; a null doc_id comes before all others; rows equal in doc_id and text are one
-place, so they get the same spans and none for repeating each other; an empty table gives no rows; extra columns are carried by ``remove_repeats``.
+texts under 100 bytes are left whole; very long texts go in pieces that together hold every window once; a null doc_id
+comes before all others; rows equal in doc_id and text are one place, so they get the same spans and none for repeating
+each other; an empty table gives no rows; extra columns are carried by ``remove_repeats`` in the struct ``row``, whatever their names.
 """
 
 from __future__ import annotations
 
 import struct
+from itertools import groupby
+from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import enter
+
 LENGTH, GRAM = 100, 24
-BLOCK_BYTES = 3 << 20
-#: Bytes of distinct strings in one suffix array.
-RUN_BYTES = 1 << 20
-#: Bytes of segments that a shard is planned for.
+#: Bytes of documents in an input shard.
+BLOCK_BYTES = 3 << 19
+#: Bytes of segments in one suffix array of a merge task, and held before it merges them.
+RUN_BYTES, MERGE_BYTES = 1 << 19, 6 << 20
+#: Bytes of segments that a merge task is planned for.
 SHARD_BYTES = 32 << 20
+#: Documents in the sample that shows which grams are common.
+SAMPLE_ROWS = 20_000
 
 _RNG = np.random.default_rng(4)
 _BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64)
 _STEP = _RNG.integers(1 << 62, 1 << 63, 8, np.uint64) | np.uint64(1)
-_PLACE = _RNG.integers(1, 1 << 63, (2, 256), np.uint64) | np.uint64(1)
+_OTHER = _RNG.integers(1, 1 << 63, 1, np.uint64)[0] | np.uint64(1)
 
 
 def gram_hashes(buf: np.ndarray) -> np.ndarray:
@@ -54,25 +64,44 @@ def gram_hashes(buf: np.ndarray) -> np.ndarray:
     return h
 
 
-def segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
-    """(gram hash, gram's place, first window, last window, document) of each segment, in order, of documents joined in buf."""
-    grams = gram_hashes(buf)
+def _smallest(grams: np.ndarray) -> np.ndarray:
+    """The place of the smallest gram of the window from each position, by the upper 40 bits, then the first."""
     low = (grams & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(grams), dtype=np.uint64)
     k = 1
     while k < 64:
         low = np.minimum(low[:-k], low[k:])
         k *= 2
     low = np.minimum(low[:-13], low[13:])  # 77 grams begin in a window
-    anchor = (low & np.uint64(0xFFFFFF)).astype(np.int64)
+    return (low & np.uint64(0xFFFFFF)).astype(np.int64)
+
+
+def segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, mask: np.ndarray | None = None, hot: np.ndarray | None = None):
+    """(dealing key, gram's place, first window, last window, document) of each segment, in order, of documents joined in
+    buf. mask: which positions are windows to keep. hot: sorted gram hashes whose windows are dealt by another gram too."""
+    grams = gram_hashes(buf)
+    anchor = _smallest(grams)
     n = np.maximum(sizes - LENGTH + 1, 0)
     doc = np.repeat(np.arange(len(sizes)), n)
     at = np.arange(len(doc)) + np.repeat(starts - (np.cumsum(n) - n), n)
+    if mask is not None:
+        kept = mask[at]
+        doc, at = doc[kept], at[kept]
     a = anchor[at]
     new = np.ones(len(at), bool)
-    new[1:] = (a[1:] != a[:-1]) | (doc[1:] != doc[:-1])
+    new[1:] = (a[1:] != a[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)
+    key = grams[a]
+    if hot is not None and len(hot):
+        common = np.isin(key, hot)
+        if common.any():
+            with np.errstate(over="ignore"):
+                rest = grams * _OTHER
+                rest[np.isin(grams, hot)] = np.uint64((1 << 64) - 1)
+                second = rest[_smallest(rest)[at]] | np.uint64(1)
+                key = np.where(common, (key ^ second) * _OTHER, key)
+            new[1:] |= key[1:] != key[:-1]
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    return grams[a[first]], a[first], at[first], at[last], doc[first]
+    last = np.append(first[1:], len(at)) - 1 if len(at) else first
+    return key[first], a[first], at[first], at[last], doc[first]
 
 
 def _parts(size: np.ndarray, most: int = 8192):
@@ -89,23 +118,8 @@ def _take(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def content_hashes(data: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Two independent multilinear hashes of each string in data, as rows."""
-    out = np.empty((2, len(size)), np.uint64)
-    ends = np.cumsum(size)
-    for a, b in _parts(size):
-        lo, hi = int(ends[a] - size[a]), int(ends[b - 1])
-        starts = ends[a:b] - size[a:b] - lo
-        place = np.arange(hi - lo) - np.repeat(starts, size[a:b])
-        value = data[lo:hi].astype(np.uint64) + np.uint64(1)
-        with np.errstate(over="ignore"):
-            for k, p in enumerate(_PLACE):
-                out[k, a:b] = np.add.reduceat(value * p[place], starts)
-    return out
-
-
-def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of each row's class, a row order in which classes are together); classes are numbered in key order."""
+def _ranks(*keys: np.ndarray) -> np.ndarray:
+    """The number of each row's class of equal keys, in key order."""
     order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
     for k in keys:
@@ -113,12 +127,7 @@ def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         new[1:] |= s[1:] != s[:-1]
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new)
-    return which, order
-
-
-def _first_of(which: np.ndarray, order: np.ndarray) -> np.ndarray:
-    w = which[order]
-    return order[np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))] if len(w) else order
+    return which
 
 
 def _steps(x: np.ndarray) -> np.ndarray:
@@ -126,43 +135,73 @@ def _steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=0).astype("<i8").astype("<u4")
 
 
-def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shift=0):
-    """(shard, blob) rows of a block: distinct segments and their places. shift: where each piece begins in its document."""
+def _edges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and after-last positions of the maximal runs of set flags."""
+    edge = np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shift=0, hot: np.ndarray | None = None):
+    """(shard, blob) rows of an input shard: the spans of its windows that repeat an earlier one in it, and segments of
+    the others, one place each. shift: where each piece begins in its document."""
     import zstandard
 
-    gram, anchor, first, last, doc = segments(buf, starts, sizes)
-    if not len(gram):
+    press = zstandard.ZstdCompressor(level=3)
+    shift = np.zeros(len(sizes), np.int64) + shift
+    n = np.maximum(sizes - LENGTH + 1, 0)
+    if not n.sum():
         return
+    at = np.arange(int(n.sum())) + np.repeat(starts - (np.cumsum(n) - n), n)
+    order = np.full(len(buf), -1)
+    order[at] = np.repeat((_ranks(doc_id, doc_key) << 32) + shift - starts, n) + at
+    run = Run(buf, order)
+    del order, at
+    left = np.zeros(len(buf), bool)
+    left[run.heads] = True
+    first, after = _edges(run.repeats)
+    if len(first):
+        doc = np.searchsorted(starts, first, side="right") - 1
+        own = shift[doc] - starts[doc]
+        parts = [doc_id[doc].astype("<i8"), doc_key[doc].astype("<u4"), (first + own).astype("<i8"), (after - first).astype("<u4")]
+        yield int(doc_key[0]) % shards, press.compress(b"S" + struct.pack("<I", len(first)) + b"".join(p.tobytes() for p in parts))
+    del run
+    key, anchor, first, last, doc = segments(buf, starts, sizes, left, hot)
     size = last - first + LENGTH
-    shard = (gram >> np.uint64(40)).astype(np.int64) % shards
-    order = np.argsort(shard, kind="stable")
-    cuts = np.flatnonzero(np.concatenate([[True], np.diff(shard[order]) != 0, [True]]))
-    press = zstandard.ZstdCompressor(level=6)
+    shard = (key >> np.uint64(40)).astype(np.int64) % shards
+    by = np.argsort(shard, kind="stable")
+    cuts = np.flatnonzero(np.concatenate([[True], np.diff(shard[by]) != 0, [True]]))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        own = order[a:b]
-        data = _take(buf, first[own], size[own])
-        h = content_hashes(data, size[own])
-        which, by = _distinct(gram[own], size[own], h[0], h[1])
-        pick = np.sort(_first_of(which, by))  # in the order of the text, which packs better
-        number = np.empty(len(pick), np.int64)
-        number[which[pick]] = np.arange(len(pick))
-        if len(pick) < len(own):
-            data = _take(buf, first[own[pick]], size[own[pick]])
-        docs, at = np.unique(doc[own], return_inverse=True)
+        own = by[a:b]
+        docs, which = np.unique(doc[own], return_inverse=True)
         parts = [
-            size[own[pick]].astype("u1"), (anchor - first)[own[pick]].astype("u1"),
-            _steps(number[which]), _steps(at), _steps(first[own] - (starts - shift)[doc[own]]),
-            np.diff(doc_id[docs], prepend=0).astype("<i8"), doc_key[docs].astype("<u4"), data]
-        head = struct.pack("<3I", len(pick), len(own), len(docs))
-        yield int(shard[own[0]]), press.compress(head + b"".join(p.tobytes() for p in parts))
+            size[own].astype("u1"), (anchor - first)[own].astype("u1"), _steps(which), _steps(first[own] - (starts - shift)[doc[own]]),
+            np.diff(doc_id[docs], prepend=0).astype("<i8"), doc_key[docs].astype("<u4"), _take(buf, first[own], size[own])]
+        yield int(shard[own[0]]), press.compress(b"T" + struct.pack("<2I", len(own), len(docs)) + b"".join(p.tobytes() for p in parts))
 
 
-def _unpack(blob: bytes):
-    import zstandard
+class Segments(NamedTuple):
+    """Strings of consecutive windows with one place each; ``anchor`` is where the gram begins in the string."""
+
+    gram: np.ndarray
+    size: np.ndarray
+    anchor: np.ndarray
+    doc_id: np.ndarray
+    doc_key: np.ndarray
+    pos: np.ndarray
+    data: np.ndarray
 
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    n, places, docs = struct.unpack_from("<3I", raw)
-    at = 12
+    def pick(self, rows: np.ndarray) -> "Segments":
+        start = np.cumsum(self.size) - self.size
+        return Segments(*(x[rows] for x in self[:6]), _take(self.data, start[rows], self.size[rows]))
+
+
+def _joined(parts: list[Segments]) -> Segments:
+    return Segments(*(np.concatenate(x) for x in zip(*parts))) if len(parts) != 1 else parts[0]
+
+
+def _unpack(raw: bytes) -> Segments:
+    n, docs = struct.unpack_from("<2I", raw, 1)
+    at = 9
 
     def read(kind: str, count: int):
         nonlocal at
@@ -171,23 +210,39 @@ def _unpack(blob: bytes):
         return out
 
     size, anchor = read("u1", n).astype(np.int64), read("u1", n).astype(np.int64)
-    seg, doc, pos = (np.cumsum(read("<u4", places), dtype=np.uint32).astype(np.int64) for _ in range(3))
+    doc, pos = (np.cumsum(read("<u4", n), dtype=np.uint32).astype(np.int64) for _ in range(2))
     ids, keys = np.cumsum(read("<i8", docs)), read("<u4", docs).astype(np.int64)
     data = np.frombuffer(raw, np.uint8, len(raw) - at, at)
     gram = gram_hashes(_take(data, np.cumsum(size) - size + anchor, np.full(n, GRAM)))[::GRAM]
-    return gram, size, seg, pos, ids[doc], keys[doc], data
+    return Segments(gram, size, anchor, ids[doc], keys[doc], pos, data)
+
+
+def _unpack_spans(raw: bytes):
+    n, at, out = struct.unpack_from("<I", raw, 1)[0], 5, []
+    for kind in ("<i8", "<u4", "<i8", "<u4"):
+        out.append(np.frombuffer(raw, kind, n, at).astype(np.int64))
+        at += n * int(kind[2])
+    ids, keys, first, length = out
+    return ids, keys, first, first + length
+
+
+def _words(text: np.ndarray, more: int = 0) -> np.ndarray:
+    """The eight bytes from each position, and ``more`` zeros after the text, as numbers whose lowest byte comes first."""
+    w = np.concatenate([text, np.zeros(more + 7, np.uint8)]).astype(np.uint64)
+    for k in (1, 2, 4):
+        w = w[:-k] | (w[k:] << np.uint64(8 * k))
+    return w
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """All suffixes of text in order, by Larsson-Sadakane refinement. It goes to the end, as Kasai's bound needs the full order."""
     n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = (key << np.uint64(8)) | padded[k:k + n]
+    key = _words(text).byteswap(inplace=True)
     sa = np.argsort(key)
     s = key[sa]
+    del key
     ends = np.flatnonzero(np.append(s[1:] != s[:-1], True)) if n else np.empty(0, np.int64)
+    del s
     size = np.diff(ends, prepend=-1)
     rank = np.empty(n, np.int64)  # of a group: its last place
     rank[sa] = np.repeat(ends, size)
@@ -196,7 +251,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     while len(open_):
         own = sa[open_]
         after = own + h
-        follow = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        follow = rank[np.minimum(after, n - 1)] + 1
+        follow[after >= n] = 0
         key = rank[own] * (n + 1) + follow
         order = np.argsort(key)
         own, key = own[order], key[order]
@@ -211,25 +267,30 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH) -> np.ndarray:
     """Kasai: for each place in sa, the common prefix with the suffix before it, up to ``most``. Each lane walks its part
-    of the text; the prefix falls by at most one from one position to the next."""
+    of the text, eight bytes a step; the prefix falls by at most one from one position to the next."""
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    if not n:
+        return np.zeros(0, np.uint8)
+    words = _words(text, most + 8)
+    before = np.full(n, len(words))
     before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([text, np.zeros(most + 1, np.uint8)])
-    lanes = max(1, n // 256)
-    step = -(-n // lanes)
+    words = np.append(words, np.uint64((int(text[sa[0]]) + 1) % 256))  # the first suffix has nothing before it: no byte equal
+    step = -(-n // max(1, n // 512))
     at = np.arange(0, n, step)
     end = np.minimum(at + step, n)
     h = np.zeros(len(at), np.int64)
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.uint8)
+    one = np.uint64(1)
     while len(at):
-        other = before[at]
-        equal = (padded[at + h] == padded[other + h]) & (h < most) & (other >= 0)
-        done = ~equal
+        differ = words[at + h] ^ words[before[at] + h]
+        equal = np.bitwise_count((differ & (~differ + one)) - one) >> 3
+        h += equal
+        done = (equal < 8) | (h >= most)
+        np.minimum(h, most, out=h)
         out[at[done]] = h[done]
-        h += np.where(equal, 1, -1)
+        h -= done
         np.maximum(h, 0, out=h)
-        at = at + done
+        at += done
         if (at >= end).any():
             live = at < end
             at, end, h = at[live], end[live], h[live]
@@ -237,187 +298,217 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH) -> np.
 
 
 class Run:
-    """One suffix array: text, the order of each window (-1: no window), and which windows repeat an earlier one."""
+    """One suffix array: which windows of text repeat an earlier one, and the earliest of each group of equal windows, in
+    suffix order. order: the order of each window (-1: no window)."""
 
     def __init__(self, text: np.ndarray, order: np.ndarray):
-        self.text, self.order = text, order
         sa = suffix_array(text)
-        group = np.cumsum(common_prefixes(text, sa) < LENGTH)
+        new = common_prefixes(text, sa) < LENGTH
         own = order[sa]
-        windows = own >= 0
-        sa, group, own = sa[windows], group[windows], own[windows]
+        windows = np.flatnonzero(own >= 0)
+        group = np.cumsum(new)[windows]
+        sa, own = sa[windows], own[windows]
         self.repeats = np.zeros(len(text), bool)
+        self.heads = sa
         if len(sa):
-            by = np.lexsort((own, group))
-            first = np.ones(len(by), bool)
-            first[1:] = group[by][1:] != group[by][:-1]
-            least = own[by[first]][np.cumsum(first) - 1]
-            self.repeats[sa[by[own[by] > least]]] = True
-            self.heads = sa[by[first]]  # the earliest of each group, in suffix order
-        else:
-            self.heads = sa
-
-    def _strings(self, at: np.ndarray) -> np.ndarray:
-        return np.ascontiguousarray(self.text[at[:, None] + np.arange(LENGTH)]).view(f"V{LENGTH}").ravel()
-
-    def merge(self, other: "Run", part: int = 20_000) -> None:
-        """Binary search of other's heads among own heads; the later of two equal windows repeats the earlier."""
-        if not len(self.heads):
-            return
-        for a in range(0, len(other.heads), part):
-            ask = other.heads[a:a + part]
-            rows = other.text[ask[:, None] + np.arange(LENGTH)]
-            low, high = np.zeros(len(ask), np.int64), np.full(len(ask), len(self.heads))
-            while (low < high).any():
-                mid = (low + high) // 2
-                seen = self.text[self.heads[np.minimum(mid, len(self.heads) - 1)][:, None] + np.arange(LENGTH)]
-                differ = seen != rows
-                k = differ.argmax(1)
-                lanes = np.arange(len(ask))
-                less = differ[lanes, k] & (seen[lanes, k] < rows[lanes, k]) & (low < high)
-                high = np.where(less | (low >= high), high, mid)
-                low = np.where(less, mid + 1, low)
-            hit = np.minimum(low, len(self.heads) - 1)
-            same = (self.text[self.heads[hit][:, None] + np.arange(LENGTH)] == rows).all(1)
-            mine, theirs = self.heads[hit[same]], ask[same]
-            self.repeats[mine[self.order[mine] > other.order[theirs]]] = True
-            other.repeats[theirs[self.order[mine] < other.order[theirs]]] = True
-
-
-def shard_repeats(blobs: list[bytes], run_bytes: int = RUN_BYTES):
-    """(doc_id, doc_key, first window, after last window) arrays of all windows of a shard that repeat an earlier one."""
-    got = [_unpack(b) for b in blobs]
-    base = np.cumsum([0] + [len(g[0]) for g in got])
-    gram, size = (np.concatenate([g[k] for g in got]) for k in (0, 1))
-    seg = np.concatenate([g[2] + b for g, b in zip(got, base)])
-    pos, ids, keys = (np.concatenate([g[k] for g in got]) for k in (3, 4, 5))
-    data = np.concatenate([g[6] for g in got])
-    got.clear()
-    offset = np.cumsum(size) - size
-    # segments whose gram stands in one place only have no equal window; repeated rows are one place
-    _, inverse = np.unique(gram, return_inverse=True)
-    many = np.flatnonzero((np.bincount(inverse[seg]) > 1)[inverse[seg]])
-    doc, _ = _distinct(ids[many], keys[many])
-    order = np.zeros(len(seg), np.int64)
-    order[many] = (doc << 32) | pos[many]
-    by = many[np.lexsort((order[many], inverse[seg[many]]))]
-    new = np.ones(len(by), bool)
-    new[1:] = (np.diff(inverse[seg[by]]) != 0) | (np.diff(order[by]) != 0)
-    often = np.bincount(inverse[seg[by[new]]], minlength=len(gram))[inverse] > 1
-    keep = np.flatnonzero(often)
-    if not len(keep):
-        return
-    data = _take(data, offset[keep], size[keep])
-    renumber = np.full(len(gram), -1)
-    renumber[keep] = np.arange(len(keep))
-    used = renumber[seg] >= 0
-    seg, pos, ids, keys, order = renumber[seg[used]], pos[used], ids[used], keys[used], order[used]
-    gram, size = gram[keep], size[keep]
-    h = content_hashes(data, size)
-    which, by = _distinct(gram, size, h[0], h[1])
-    pick = _first_of(which, by)  # one segment per class, by gram
-    offset = np.cumsum(size) - size
-    cls = which[seg]
-    sort = np.lexsort((order, cls))
-    head = np.ones(len(sort), bool)
-    head[1:] = cls[sort][1:] != cls[sort][:-1]
-    earliest = sort[head]  # by class
-    rest = sort[order[sort] > order[earliest][cls[sort]]]
-    yield ids[rest], keys[rest], pos[rest], pos[rest] + size[pick][cls[rest]] - LENGTH + 1
-
-    size, gram, offset = size[pick], gram[pick], offset[pick]
-    own = order[earliest]
-    ends = np.cumsum(size)
-    a = 0
-    runs: list[tuple[int, int, Run]] = []
-    while a < len(size):
-        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + run_bytes, side="right")))
-        if b < len(size) and gram[b] == gram[b - 1]:  # not within a gram, if it can be helped
-            cut = int(np.searchsorted(gram, gram[b]))
-            b = cut if cut > a else b
-        text = _take(data, offset[a:b], size[a:b])
-        place = np.arange(len(text)) - np.repeat(np.cumsum(size[a:b]) - size[a:b], size[a:b])
-        window = place <= np.repeat(size[a:b], size[a:b]) - LENGTH
-        run = Run(text, np.where(window, np.repeat(own[a:b], size[a:b]) + place, -1))
-        if runs and gram[a] != gram[a - 1]:
-            yield from _spans_of(runs, size, earliest, ids, keys, pos)
-            runs = []
-        for _, _, other in runs:
-            other.merge(run)
-        runs.append((a, b, run))
-        a = b
-    yield from _spans_of(runs, size, earliest, ids, keys, pos)
-
-
-def _spans_of(runs, size, earliest, ids, keys, pos):
-    for a, b, run in runs:
-        if not run.repeats.any():
-            continue
-        edge = np.diff(np.concatenate([[0], run.repeats.view(np.int8), [0]]))
-        start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        begin = np.cumsum(size[a:b]) - size[a:b]
-        which = np.searchsorted(begin, start, side="right") - 1
-        e = earliest[a + which]
-        yield ids[e], keys[e], pos[e] + start - begin[which], pos[e] + stop - begin[which]
+            cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            size = np.diff(np.append(cuts, len(sa)))
+            alike = np.flatnonzero(np.repeat(size > 1, size))
+            if len(alike):
+                least = np.repeat(np.minimum.reduceat(own, cuts), size)
+                self.repeats[sa[alike[own[alike] > least[alike]]]] = True
+                earliest = np.flatnonzero(own == least)
+                _, at = np.unique(group[earliest], return_index=True)  # places may stand in text twice
+                self.heads = sa[earliest[at]]
+
+
+def _search(data: np.ndarray, heads: np.ndarray, ask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Binary search of the windows ``ask`` among ``heads``, which are in suffix order: (place, whether the window there is equal)."""
+    rows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
+    word = lambda at: np.ascontiguousarray(rows[at, :8]).view(">u8").ravel().astype(np.uint64)
+    string = lambda at: rows[at].view(f"S{LENGTH}").ravel()
+    own, asked = word(heads), word(ask)
+    low, high = np.searchsorted(own, asked), np.searchsorted(own, asked, side="right")
+    same = np.zeros(len(ask), bool)
+    for a in range(0, len(ask), 16384):
+        lo, hi = low[a:a + 16384], high[a:a + 16384]
+        end, want = hi.copy(), string(ask[a:a + 16384])
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            mid = (lo[open_] + hi[open_]) // 2
+            less = string(heads[mid]) < want[open_]
+            lo[open_] = np.where(less, mid + 1, lo[open_])
+            hi[open_] = np.where(less, hi[open_], mid)
+            open_ = open_[lo[open_] < hi[open_]]
+        at = np.flatnonzero(lo < end)
+        same[a + at] = string(heads[lo[at]]) == want[at]
+    return low, same
+
+
+class Merge:
+    """Suffix arrays of runs of ``data``, merged by binary search. ``order`` is the order of each window (-1: no window)."""
+
+    def __init__(self, data: np.ndarray, order: np.ndarray, cuts: list[int]):
+        self.data, self.order = data, order
+        self.repeats = np.zeros(len(data), bool)
+        level = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            run = Run(data[a:b], order[a:b])
+            self.repeats[a:b] = run.repeats
+            level.append(run.heads + a)
+        while len(level) > 1:
+            level = [self._pair(*level[k:k + 2]) for k in range(0, len(level), 2)]
+        self.heads = level[0]
+
+    def _pair(self, a: np.ndarray, b: np.ndarray | None = None) -> np.ndarray:
+        """The distinct windows of two sorted lists in order; the later of two equal windows repeats the earlier."""
+        if b is None or not len(b):
+            return a
+        if len(a) < len(b):
+            a, b = b, a
+        low, same = _search(self.data, a, b)
+        mine, theirs = a[low[same]], b[same]
+        later = self.order[mine] > self.order[theirs]
+        self.repeats[mine[later]] = True
+        self.repeats[theirs[self.order[mine] < self.order[theirs]]] = True
+        a = a.copy()
+        a[low[same][later]] = theirs[later]
+        return np.insert(a, low[~same], b[~same])
+
+
+def _merge(held: Segments, run_bytes: int):
+    """(spans of windows that repeat an earlier one, segments of the windows that are left); the strings' order is that of the input shards."""
+    _, which, often = np.unique(held.gram, return_inverse=True, return_counts=True)
+    many = often[which] > 1
+    alone, some = np.flatnonzero(~many), np.flatnonzero(many)
+    if not len(some):
+        return None, held
+    own = held.pick(some)
+    begin = np.cumsum(own.size) - own.size
+    place = np.repeat(np.arange(len(own.size), dtype=np.int32), own.size)
+    offset = np.arange(len(own.data)) - begin[place]
+    order = ((_ranks(own.doc_id, own.doc_key) << 32) + own.pos)[place] + offset
+    order[offset > own.size[place] - LENGTH] = -1
+    del offset
+    cuts, ends = [0], begin + own.size
+    while cuts[-1] < len(own.data):
+        cuts.append(max(int(ends[np.searchsorted(ends, cuts[-1] + run_bytes, side="right") - 1]), int(ends[np.searchsorted(ends, cuts[-1], side="right")])))
+    merged_ = Merge(own.data, order, cuts)
+    first, after = _edges(merged_.repeats)
+    k = place[first]
+    spans = own.doc_id[k], own.doc_key[k], own.pos[k] + first - begin[k], own.pos[k] + after - begin[k]
+    left = np.zeros(len(own.data), bool)
+    left[merged_.heads] = True
+    first, after = _edges(left)
+    k = place[first]
+    size = after - first + LENGTH - 1
+    rest = Segments(own.gram[k], size, own.anchor[k] - (first - begin[k]), own.doc_id[k], own.doc_key[k], own.pos[k] + first - begin[k], _take(own.data, first, size))
+    return spans, _joined([held.pick(alone), rest])
+
+
+def shard_repeats(blobs, run_bytes: int = RUN_BYTES, merge_bytes: int = MERGE_BYTES):
+    """(doc_id, doc_key, first window, after last window) arrays of all windows of a merge task that repeat an earlier one."""
+    import zstandard
 
+    press = zstandard.ZstdDecompressor()
+    held: list[Segments] = []
+    size, most = 0, merge_bytes
+    for blob in blobs:
+        raw = press.decompress(blob)
+        if raw[:1] == b"S":
+            yield _unpack_spans(raw)
+            continue
+        held.append(_unpack(raw))
+        size += len(held[-1].data)
+        if size > most:
+            spans, left = _merge(_joined(held), run_bytes)
+            if spans is not None:
+                yield spans
+            held, size = [left], len(left.data)
+            most = max(merge_bytes, 2 * size)
+    if held:
+        spans, _ = _merge(_joined(held), run_bytes)
+        if spans is not None:
+            yield spans
+
+
+def _pieces(batches, block_bytes: int):
+    """(doc_id, text_key, where it begins, bytes) of texts of 100 bytes or more; a text longer than a block goes in pieces
+    that share no window."""
+    from xxhash import xxh64_intdigest
 
-def repeated_spans(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    for batch in batches:
+        for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            t = t.as_buffer()
+            if t is None or t.size < LENGTH:
+                continue
+            t = t.to_pybytes()
+            key = xxh64_intdigest(t, 42) & 0xFFFFFFFF
+            for at in range(0, len(t) - LENGTH + 1, block_bytes):
+                yield -(1 << 63) if k is None else k, key, at, t[at:at + block_bytes + LENGTH - 1]
+
+
+def common_grams(docs: DataFrame, n_docs: int, total_bytes: int, shard_bytes: int = SHARD_BYTES, sample_rows: int = SAMPLE_ROWS, block_bytes: int = BLOCK_BYTES) -> np.ndarray:
+    """Sorted hashes of grams by which segments of more than two merge tasks' size would be dealt, by a sample of about
+    ``sample_rows`` documents chosen by a hash. They decide only how work is dealt, no result; at most a few of a
+    document's grams can be that common, so what the driver gets is bounded by the sample."""
+    share = 2 * shard_bytes / max(total_bytes * 7 / 2, 1)
+    seen = min(n_docs, sample_rows)
+    if share >= 1 or not seen:
+        return np.empty(0, np.uint64)
+    parts = max(1, n_docs // sample_rows)
+
+    def grams(batches):
+        for _, _, _, piece in _pieces(batches, block_bytes):
+            found = np.unique(segments(np.frombuffer(piece, np.uint8), np.array([0]), np.array([len(piece)]))[0]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["gram"])
+
+    sample = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("text"), F.lit(parts)) == 0)
+    mean = max(total_bytes / max(n_docs, 1), 1.0)
+    least = max(3, int(share * seen * mean * 3.5 / 140))
+    rows = sample.mapInArrow(grams, "gram long").groupBy("gram").count().where(F.col("count") >= least).select("gram").collect()
+    return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
+
+
+def repeated_spans(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES, hot: np.ndarray | None = None) -> DataFrame:
     """(doc_id, text_key, spans): spans as start * 2^32 + stop of repeated bytes, several a document, not yet merged."""
     if shards is None:
-        total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        total, n = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("text")).first()
         shards = max(64, -(-int(total) * 7 // 2 // SHARD_BYTES))
+        hot = common_grams(docs, n, int(total)) if hot is None else hot
 
     def pack(batches):
-        from xxhash import xxh64_intdigest
-
-        ids, keys, shift, texts, held = [], [], [], [], 0
+        enter("suffix")
+        held: list[tuple] = []
+        size = 0
 
         def flush():
+            ids, keys, shift, texts = zip(*held)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             buf = np.frombuffer(b"".join(texts), np.uint8)
-            key = np.array(keys, np.int64)
-            rows = list(pack_block(buf, np.cumsum(sizes) - sizes, sizes, np.array(ids, np.int64), key, shards, np.array(shift)))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["shard", "blob"])
-
-        for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                t = t.as_buffer()
-                if t is None or t.size < LENGTH:
-                    continue
-                t = t.to_pybytes()
-                key = xxh64_intdigest(t, 42) & 0xFFFFFFFF
-                # a document longer than a block goes in pieces that share no window
-                for at in range(0, len(t) - LENGTH + 1, block_bytes):
-                    piece = t[at:at + block_bytes + LENGTH - 1]
-                    if held + len(piece) > block_bytes and texts:
-                        yield flush()
-                        ids, keys, shift, texts, held = [], [], [], [], 0
-                    ids.append(-(1 << 63) if k is None else k)
-                    keys.append(key)
-                    shift.append(at)
-                    texts.append(piece)
-                    held += len(piece)
-        if texts:
-            yield flush()
+            for shard, blob in pack_block(buf, np.cumsum(sizes) - sizes, sizes, np.array(ids, np.int64), np.array(keys, np.int64), shards, np.array(shift), hot):
+                yield shard, blob
+
+        def batch_of(rows):
+            shard, blob = zip(*rows) if rows else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(blob, pa.binary())], names=["shard", "blob"])
+
+        for piece in _pieces(batches, block_bytes):
+            if held and size + len(piece[3]) > block_bytes:
+                yield batch_of(list(flush()))
+                held, size = [], 0
+            held.append(piece)
+            size += len(piece[3])
+        if held:
+            yield batch_of(list(flush()))
 
     def find(batches):
-        held, now = [], None
-
-        def result():
-            for ids, keys, start, stop in shard_repeats(held):
+        enter("suffix")
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1))))
+        for _, own in groupby(rows, key=itemgetter(0)):
+            for ids, keys, start, stop in shard_repeats(blob for _, blob in own):
                 span = (start << 32) | (stop - 1 + LENGTH)
-                none = pa.array(ids == -(1 << 63)) if (ids == -(1 << 63)).any() else None
-                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=None if none is None else np.asarray(none)), pa.array(keys), pa.array(span)], names=["doc_id", "text_key", "span"])
-
-        for batch in batches:
-            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if held and shard != now:
-                    yield from result()
-                    held = []
-                now = shard
-                held.append(blob)
-        if held:
-            yield from result()
+                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=ids == -(1 << 63)), pa.array(keys), pa.array(span)], names=["doc_id", "text_key", "span"])
 
     blobs = docs.select("doc_id", "text").mapInArrow(pack, "shard long, blob binary")
     spans = blobs.repartition("shard").sortWithinPartitions("shard").mapInArrow(find, "doc_id long, text_key long, span long")
@@ -446,9 +537,25 @@ def _squeezed(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["row", "_id", "_key", "_bytes"])
 
 
-def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs' columns, and removed (array of start, stop in bytes) and kept (the remaining bytes of the text)."""
-    found = repeated_spans(docs, shards, block_bytes)
+def _whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs widened to the borders of UTF-8 characters that they cut."""
+    out: list[tuple[int, int]] = []
+    for a, b in runs:
+        while a > 0 and data[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(data) and data[b] & 0xC0 == 0x80:
+            b += 1
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
+
+
+def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES, characters: bool = False, hot: np.ndarray | None = None) -> DataFrame:
+    """row (docs' columns but the text), removed (array of start, stop in bytes) and kept (the remaining bytes of the text).
+    characters: a character that loses some of its bytes goes whole."""
+    found = repeated_spans(docs, shards, block_bytes, hot)
     left = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)))
     left = left.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), "_key", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes")).drop("text")
     left = left.withColumn("row", F.col("row").dropFields("text")) if len(docs.columns) > 1 else left
@@ -465,6 +572,7 @@ def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int
             for packed, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = press.decompress(packed)
                 runs = merged(spans) if spans else []
+                runs = _whole_characters(data, runs) if characters else runs
                 at, parts = 0, []
                 for a, b in runs:
                     parts.append(data[at:a])
@@ -480,10 +588,10 @@ def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int
 
 
 def without_repeats(docs: DataFrame, shards: int | None = None) -> DataFrame:
-    """docs with the remaining bytes as text; a character that lost some of its bytes goes whole. Null text stays null."""
-    marked = docs.withColumn("_null", F.col("text").isNull())
-    done = remove_repeats(marked, shards)
-    text = F.when(F.col("row._null"), None).otherwise(F.regexp_replace(F.call_function("make_valid_utf8", F.col("kept").cast("string")), "�", ""))
-    untouched = F.size("removed") == 0
-    clean = F.when(F.col("row._null"), None).when(untouched, F.col("kept").cast("string")).otherwise(text)
-    return done.select(*[clean.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    """docs with the remaining bytes as text; a character that lost some of its bytes goes whole, all others stay. Null text stays null."""
+    extra = "_null"
+    while extra in docs.columns:
+        extra += "_"
+    done = remove_repeats(docs.withColumn(extra, F.col("text").isNull()), shards, characters=True)
+    text = F.when(~F.col(f"row.`{extra}`"), F.col("kept").cast("string"))
+    return done.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -59,8 +59,11 @@ def cases():
     return docs
 
 
-@pytest.mark.parametrize("run_bytes,shards", [(S.RUN_BYTES, 3), (700, 2)])
-def test_shards_like_brute_force(run_bytes, shards):
+@pytest.mark.parametrize("run_bytes,merge_bytes,shards,hot", [(S.RUN_BYTES, S.MERGE_BYTES, 3, False), (700, 3000, 2, False), (700, 20_000, 2, True), (300, 1, 1, False)])
+def test_shards_like_brute_force(monkeypatch, run_bytes, merge_bytes, shards, hot):
+    merged = []
+    pair = S.Merge._pair
+    monkeypatch.setattr(S.Merge, "_pair", lambda self, a, b=None: (merged.append(b is not None), pair(self, a, b))[1])
     from xxhash import xxh64_intdigest
 
     rows = [(d, t) for d, t in cases() if d is not None]
@@ -71,14 +74,29 @@ def test_shards_like_brute_force(run_bytes, shards):
         sizes = np.array([len(t) for _, t in part])
         buf = np.frombuffer(b"".join(t for _, t in part), np.uint8)
         keys = np.array([xxh64_intdigest(t, 42) & 0xFFFFFFFF for _, t in part])
-        for s, b in S.pack_block(buf, np.cumsum(sizes) - sizes, sizes, np.array([d for d, _ in part]), keys, shards):
+        grams = np.unique(S.segments(buf, np.cumsum(sizes) - sizes, sizes)[0])
+        for s, b in S.pack_block(buf, np.cumsum(sizes) - sizes, sizes, np.array([d for d, _ in part]), keys, shards, hot=np.sort(grams[grams % 3 > 0]) if hot else None):
             blobs.setdefault(s, []).append(b)
     spans: dict[int, list] = {}
     for b in blobs.values():
-        for ids, _, start, stop in S.shard_repeats(b, run_bytes):
+        for ids, _, start, stop in S.shard_repeats(b, run_bytes, merge_bytes):
             for d, x, y in zip(ids.tolist(), start.tolist(), stop.tolist()):
                 spans.setdefault(d, []).append((x << 32) | (y + 99))
     assert {d: S.merged(v) for d, v in spans.items()} == {d: runs for d, runs, _ in plain(rows) if runs}
+    assert any(merged) == (run_bytes < S.RUN_BYTES)
+
+
+def test_hot_grams_are_the_same_in_all_blocks():
+    """Blocks deal equal windows alike: the grams of a block above are cut by value, so all blocks agree on those they share."""
+    text = ("the same line of many words that stands in all of them, " * 3).encode()
+    buf = np.frombuffer(text + b"A" * 40 + text, np.uint8)
+    grams = np.unique(S.segments(buf, np.array([0]), np.array([len(buf)]))[0])
+    key, _, first, last, _ = S.segments(buf, np.array([0]), np.array([len(buf)]), hot=grams)
+    dealt = {}
+    for k, a, b in zip(key.tolist(), first.tolist(), last.tolist()):
+        for at in range(a, b + 1):
+            dealt.setdefault(buf[at:at + 100].tobytes(), set()).add(k)
+    assert all(len(x) == 1 for x in dealt.values()) and any(x not in grams.tolist() for y in dealt.values() for x in y)
 
 
 def test_documents_like_brute_force(spark, edge_docs, sample, no_docs):
@@ -89,6 +107,8 @@ def test_documents_like_brute_force(spark, edge_docs, sample, no_docs):
     assert got == {d: (runs, kept) for d, runs, kept in plain(rows)}
     assert any(runs for runs, _ in got.values())
     small = {r.row.doc_id: ([(s.start, s.stop) for s in r.removed], bytes(r.kept)) for r in S.remove_repeats(docs, 5, 333).collect()}
+    hot = S.common_grams(docs, len(rows), 10**6, shard_bytes=10, sample_rows=1000)
+    assert len(hot) and {r.row.doc_id: bytes(r.kept) for r in S.remove_repeats(docs, 5, hot=hot).collect()} == {d: k for d, (_, k) in got.items()}
     assert small == got
     assert S.remove_repeats(no_docs).collect() == []
     clean = S.without_repeats(docs)
@@ -119,7 +139,25 @@ def test_repeated_rows_keep_their_text(spark):
         got = sorted((-1 if x.row.doc_id is None else x.row.doc_id, [(s.start, s.stop) for s in x.removed], bytes(x.kept)) for x in rows)
         assert len(got) == len(twice)
         assert sorted({(d, tuple(runs), kept) for d, runs, kept in got}) == sorted({(d, tuple(runs), kept) for d, runs, kept in want})
-    # merged runs, where one gram has more strings than a run holds
-    one, two = (S.Run(np.frombuffer(alone.encode(), np.uint8), np.where(np.arange(len(alone)) <= len(alone) - 100, np.arange(len(alone)), -1)) for _ in range(2))
-    one.merge(two)
-    assert not one.repeats.any() and not two.repeats.any()
+    # two runs that hold the same places
+    text, order = np.frombuffer(alone.encode(), np.uint8), np.where(np.arange(len(alone)) <= len(alone) - 100, np.arange(len(alone)), -1)
+    both = S.Merge(np.concatenate([text, text]), np.concatenate([order, order]), [0, len(text), 2 * len(text)])
+    assert not both.repeats.any() and len(both.heads) == len(text) - 99
+
+
+def test_characters_at_edges_go_whole_and_others_stay(spark):
+    r = np.random.default_rng(4)
+    same = "é" + "".join(chr(x) for x in r.integers(0x3B1, 0x3C9, 80))
+    docs = [(1, "keep \ufffd this " + same + " end"), (2, "\ufffd other \ufffd " + same[1:] + "\ufffd"), (3, "è" + same[1:] + "\ufffd\ufffd")]
+    frame = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, _null string")
+    got = {x.doc_id: x.text for x in S.without_repeats(frame).collect()}
+    for (d, text), (_, runs, _) in zip(docs, plain(docs)):
+        ends = np.cumsum([len(c.encode()) for c in text])
+        assert got[d] == "".join(c for c, e in zip(text, ends) if not any(x < e and e - len(c.encode()) < y for x, y in runs))
+    assert got[1] == docs[0][1] and got[2] == "\ufffd other \ufffd \ufffd" and got[3] == "è\ufffd"
+
+
+def test_split_character():
+    data = "aé漢b".encode()
+    assert S._whole_characters(data, [(2, 4)]) == [(1, 6)] and S._whole_characters(data, [(0, 2), (3, 4)]) == [(0, 6)]
+    assert S._whole_characters(data, [(1, 3)]) == [(1, 3)]
