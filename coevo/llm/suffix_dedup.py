@@ -5,7 +5,7 @@ then sort only the groups that are still equal by the rank of what follows, doub
 prefixes, in lanes that numpy advances together. Windows with a common prefix of 100 bytes are equal: all but the
 earliest repeat it and become spans at once, so one place per distinct window leaves an input shard.
 
-What is left meets the other input shards. Every 100-byte window belongs to its smallest 24-byte gram by hash (the
+What is left meets the windows of other input shards. Every 100-byte window belongs to its smallest 24-byte gram by hash (the
 first of equals), so equal windows belong to equal grams wherever they stand; consecutive windows of one gram form a
 segment of at most 176 bytes, and segments are dealt to merge tasks by their gram. A gram that a sample of documents
 shows to be so common that its segments would swamp a task is dealt by the window's smallest other gram as well. A
@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from .common import enter
 
 LENGTH, GRAM = 100, 24
-#: Bytes of documents in an input shard.
-BLOCK_BYTES = 3 << 19
+#: Bytes of documents packed together, and in an input shard, which has its own suffix array.
+BLOCK_BYTES, INPUT_BYTES = 3 << 19, 1 << 19
 #: Bytes of segments in one suffix array of a merge task, and held before it merges them.
 RUN_BYTES, MERGE_BYTES = 1 << 19, 6 << 20
 #: Bytes of segments that a merge task is planned for.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 12 << 20
 #: Documents in the sample that shows which grams are common.
 SAMPLE_ROWS = 20_000
 
@@ -141,30 +141,36 @@ def _edges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shift=0, hot: np.ndarray | None = None):
-    """(shard, blob) rows of an input shard: the spans of its windows that repeat an earlier one in it, and segments of
-    the others, one place each. shift: where each piece begins in its document."""
+def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shift=0, hot: np.ndarray | None = None, input_bytes: int = INPUT_BYTES):
+    """(shard, blob) rows of a block of input shards: the spans of windows that repeat an earlier one of their input shard,
+    and segments of the others, one place each. shift: where each piece begins in its document."""
     import zstandard
 
-    press = zstandard.ZstdCompressor(level=3)
+    press = zstandard.ZstdCompressor(level=6)
     shift = np.zeros(len(sizes), np.int64) + shift
     n = np.maximum(sizes - LENGTH + 1, 0)
     if not n.sum():
         return
-    at = np.arange(int(n.sum())) + np.repeat(starts - (np.cumsum(n) - n), n)
-    order = np.full(len(buf), -1)
-    order[at] = np.repeat((_ranks(doc_id, doc_key) << 32) + shift - starts, n) + at
-    run = Run(buf, order)
-    del order, at
-    left = np.zeros(len(buf), bool)
-    left[run.heads] = True
-    first, after = _edges(run.repeats)
+    rank = _ranks(doc_id, doc_key) << 32
+    repeats, left = np.zeros(len(buf), bool), np.zeros(len(buf), bool)
+    k, ends = 0, starts + sizes
+    while k < len(starts):
+        after = max(k + 1, int(np.searchsorted(ends, starts[k] + input_bytes, side="right")))
+        lo, hi, m = int(starts[k]), int(ends[after - 1]), n[k:after]
+        at = np.arange(int(m.sum())) + np.repeat(starts[k:after] - lo - (np.cumsum(m) - m), m)
+        order = np.full(hi - lo, -1)
+        order[at] = np.repeat(rank[k:after] + shift[k:after] - starts[k:after] + lo, m) + at
+        run = Run(buf[lo:hi], order)
+        repeats[lo:hi] = run.repeats
+        left[run.heads + lo] = True
+        k = after
+    del run, order, at
+    first, after = _edges(repeats)
     if len(first):
         doc = np.searchsorted(starts, first, side="right") - 1
         own = shift[doc] - starts[doc]
         parts = [doc_id[doc].astype("<i8"), doc_key[doc].astype("<u4"), (first + own).astype("<i8"), (after - first).astype("<u4")]
         yield int(doc_key[0]) % shards, press.compress(b"S" + struct.pack("<I", len(first)) + b"".join(p.tobytes() for p in parts))
-    del run
     key, anchor, first, last, doc = segments(buf, starts, sizes, left, hot)
     size = last - first + LENGTH
     shard = (key >> np.uint64(40)).astype(np.int64) % shards
@@ -194,6 +200,13 @@ class Segments(NamedTuple):
         start = np.cumsum(self.size) - self.size
         return Segments(*(x[rows] for x in self[:6]), _take(self.data, start[rows], self.size[rows]))
 
+    def strings(self) -> np.ndarray:
+        """The strings as numpy bytes, padded with zeros."""
+        wide = int(self.size.max(initial=1))
+        out = np.zeros((len(self.size), wide), np.uint8)
+        out[np.arange(wide) < self.size[:, None]] = self.data
+        return out.view(f"S{wide}").ravel()
+
 
 def _joined(parts: list[Segments]) -> Segments:
     return Segments(*(np.concatenate(x) for x in zip(*parts))) if len(parts) != 1 else parts[0]
@@ -377,13 +390,31 @@ class Merge:
 
 
 def _merge(held: Segments, run_bytes: int):
-    """(spans of windows that repeat an earlier one, segments of the windows that are left); the strings' order is that of the input shards."""
+    """Yields the spans of windows that repeat an earlier one, returns segments of the windows that are left."""
     _, which, often = np.unique(held.gram, return_inverse=True, return_counts=True)
     many = often[which] > 1
     alone, some = np.flatnonzero(~many), np.flatnonzero(many)
     if not len(some):
-        return None, held
+        return held
     own = held.pick(some)
+    # equal strings first: in suffix order, the later places of a string repeat its earliest
+    order = (_ranks(own.doc_id, own.doc_key) << 32) + own.pos
+    string = own.strings()
+    by = np.argsort(string, kind="stable")  # merges what is in order already by binary search
+    new = np.ones(len(by), bool)
+    new[1:] = (string[by][1:] != string[by][:-1]) | (own.size[by][1:] != own.size[by][:-1])
+    del string
+    cuts = np.flatnonzero(new)
+    least = np.repeat(np.minimum.reduceat(order[by], cuts), np.diff(np.append(cuts, len(by))))
+    late = by[order[by] > least]
+    yield own.doc_id[late], own.doc_key[late], own.pos[late], own.pos[late] + own.size[late] - LENGTH + 1
+    early = by[order[by] == least]
+    early = np.sort(early[np.unique(np.cumsum(new)[order[by] == least], return_index=True)[1]])
+    _, which, often = np.unique(own.gram[early], return_inverse=True, return_counts=True)
+    many = often[which] > 1
+    alone, own = _joined([held.pick(alone), own.pick(early[~many])]), own.pick(early[many])
+    if not len(own.size):
+        return alone
     begin = np.cumsum(own.size) - own.size
     place = np.repeat(np.arange(len(own.size), dtype=np.int32), own.size)
     offset = np.arange(len(own.data)) - begin[place]
@@ -396,14 +427,14 @@ def _merge(held: Segments, run_bytes: int):
     merged_ = Merge(own.data, order, cuts)
     first, after = _edges(merged_.repeats)
     k = place[first]
-    spans = own.doc_id[k], own.doc_key[k], own.pos[k] + first - begin[k], own.pos[k] + after - begin[k]
+    yield own.doc_id[k], own.doc_key[k], own.pos[k] + first - begin[k], own.pos[k] + after - begin[k]
     left = np.zeros(len(own.data), bool)
     left[merged_.heads] = True
     first, after = _edges(left)
     k = place[first]
     size = after - first + LENGTH - 1
     rest = Segments(own.gram[k], size, own.anchor[k] - (first - begin[k]), own.doc_id[k], own.doc_key[k], own.pos[k] + first - begin[k], _take(own.data, first, size))
-    return spans, _joined([held.pick(alone), rest])
+    return _joined([alone, rest])
 
 
 def shard_repeats(blobs, run_bytes: int = RUN_BYTES, merge_bytes: int = MERGE_BYTES):
@@ -421,15 +452,11 @@ def shard_repeats(blobs, run_bytes: int = RUN_BYTES, merge_bytes: int = MERGE_BY
         held.append(_unpack(raw))
         size += len(held[-1].data)
         if size > most:
-            spans, left = _merge(_joined(held), run_bytes)
-            if spans is not None:
-                yield spans
+            left = yield from _merge(_joined(held), run_bytes)
             held, size = [left], len(left.data)
             most = max(merge_bytes, 2 * size)
     if held:
-        spans, _ = _merge(_joined(held), run_bytes)
-        if spans is not None:
-            yield spans
+        yield from _merge(_joined(held), run_bytes)
 
 
 def _pieces(batches, block_bytes: int):

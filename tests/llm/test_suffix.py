@@ -83,7 +83,7 @@ def test_shards_like_brute_force(monkeypatch, run_bytes, merge_bytes, shards, ho
             for d, x, y in zip(ids.tolist(), start.tolist(), stop.tolist()):
                 spans.setdefault(d, []).append((x << 32) | (y + 99))
     assert {d: S.merged(v) for d, v in spans.items()} == {d: runs for d, runs, _ in plain(rows) if runs}
-    assert any(merged) == (run_bytes < S.RUN_BYTES)
+    assert any(merged) == (run_bytes < S.RUN_BYTES)  # runs of input shards are merged by binary search
 
 
 def test_hot_grams_are_the_same_in_all_blocks():
