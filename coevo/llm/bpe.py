@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WordTable, blocks, per_document, split_blank
+from .common import WordTable, blocks, enter, keep, per_document, split_blank
 
 LONG, LEAF = 2048, 512
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[str, "Encoder"] = keep("tokens", {})
 
 #: Lower-case letters, numbers and white space up to U+017F, where no two characters compose (so NFC
 #: changes nothing); texts beyond take the library's own normalizer and splitter.
@@ -145,6 +145,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
+    enter("tokens")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

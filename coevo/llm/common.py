@@ -12,6 +12,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN_DIR: dict[str, str] = {}
 #: What a Python worker keeps between tasks, by the operator that needs it.
@@ -62,6 +63,19 @@ def enter(operator: str) -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def row_key(text: str = "text"):
+    """A hash of the text that tells rows of one doc_id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id (null like any other) and text are among gone's (doc_id, text_key)."""
+    left = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), row_key().alias("_key"))
+    gone = gone.select(F.col("doc_id").alias("_id2"), F.col("text_key").alias("_key2")).distinct()
+    left = left.join(gone, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left_anti")
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 class WordTable(dict):
     """word -> row number of a growing flat table of small arrays, one per word.
 

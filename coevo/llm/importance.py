@@ -3,21 +3,21 @@
 Two generative models over hashed n-grams, one of the target text and one of the raw text, are bags of
 ``buckets`` counts. A document's log weight is the sum of the log ratios of its n-grams' buckets.
 Resampling draws without replacement by Gumbel top-k: each document's key is its log weight over
-``temperature`` plus Gumbel noise from a hash of its id, and the k largest keys stay.
+``temperature`` (1 draws in proportion to the weights) plus Gumbel noise from a hash of its id, and the k largest keys stay.
 
 The raw model counts every n-gram of the whole corpus. The target model counts documents labelled
 as good, at most ``target_rows`` labelled documents chosen by a hash of doc_id; counts of all
 tasks are added up in ``buckets`` numbers, so what reaches the driver and what is broadcast is of
-fixed size. k defaults to the number of documents whose log weight reaches the cut that separates
-the sampled good from the sampled bad documents best, so it follows the corpus. The k-th largest key
-is found by counting keys in ever finer ranges, never by sorting all keys into one task.
+fixed size. k is ``share`` of the rows, which defaults to the share of good ones among the labelled documents drawn. The
+k-th largest key is found by counting keys in ever finer ranges, never by sorting all keys into one task.
 
-N-grams are words and neighbouring pairs (case and signs count); a word that repeats the one
-before makes one pair bucket of its own kind, and each word's shape (capitals, sign at the end) counts too.
+N-grams are those of two token sequences: words (single ones and neighbouring pairs; case and signs count) and word
+classes (single ones: a word's capitals, signs and digits, or that it repeats the word before).
 
-Defined results: null and empty texts have log weight 0; ties in the key go by doc_id, rows of one
-doc_id stand or fall together; without labels of both kinds all documents are kept; an empty table
-gives no rows.
+Defined results: null and empty texts have log weight 0; a null doc_id has a noise of its own; rows equal in doc_id and
+text have equal keys, and all rows whose key equals the k-th largest are kept; very long texts are scored whole; without
+labels of both kinds all documents are kept; an empty table gives no rows; other columns, whatever their names, are
+dropped by ``resample`` and carried by ``keep``.
 """
 
 from __future__ import annotations
@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, blocks, per_document, split_blank, stored
+from .common import WordTable, blocks, enter, keep as kept_between, per_document, row_key, split_blank, stored, without_rows
 
 BUCKETS = 1 << 16
-_TABLE: dict[int, WordTable] = {}
+_TABLE: dict[int, WordTable] = kept_between("importance", {})
+#: The class of a word that repeats the word before.
+AGAIN = np.uint64(12345)
 
 
 def _hash(words: list[str]) -> np.ndarray:
@@ -39,40 +41,47 @@ def _hash(words: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
 
 
-def _shape(word: str) -> str:
+def word_class(word: str) -> str:
     signs = "".join(sorted({c for c in word if not c.isalnum()}))
     case = "U" if word.isupper() and len(word) > 1 else "u" if word[:1].isupper() else "l"
     return f"{case}{signs}{'9' if any(c.isdigit() for c in word) else ''}"
 
 
 def _features(words: list[str]) -> list[list[int]]:
-    """Per word its own hash and its shape's; none for the empty word."""
-    own, shape = _hash(words), _hash(["\0" + _shape(w) for w in words])
-    return [[a, b] if w else [] for w, a, b in zip(words, own.tolist(), shape.tolist())]
+    """Per word its own hash and its class's; none for the empty word."""
+    own, cls = _hash(words), _hash(["\0" + word_class(w) for w in words])
+    return [[a, b] if w else [] for w, a, b in zip(words, own.tolist(), cls.tolist())]
 
 
 def ngram_buckets(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of every n-gram, number of the text it is from)."""
     if buckets not in _TABLE:
-        _TABLE[buckets] = WordTable(_features, np.uint64)
+        _TABLE[buckets] = WordTable(_features, np.uint64, 200_000)
     flat, size = per_document(_TABLE[buckets], texts, split_blank)
     pairs = flat.reshape(-1, 2)
     doc = np.repeat(np.arange(len(texts)), size // 2)
-    own, shape = pairs[:, 0], pairs[:, 1]
+    own, cls = pairs[:, 0], pairs[:, 1].copy()
     near = doc[1:] == doc[:-1]
+    cls[1:][near & (own[1:] == own[:-1])] = AGAIN
     with np.errstate(over="ignore"):
         pair = own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:]
-        pair = np.where(own[:-1] == own[1:], np.uint64(12345), pair ^ (pair >> np.uint64(29)))[near]
-    every = np.concatenate([own, shape, pair])
+        pair = (pair ^ (pair >> np.uint64(29)))[near]
+    every = np.concatenate([own, cls, pair])
     return (every % np.uint64(buckets)).astype(np.int64), np.concatenate([doc, doc, doc[1:][near]])
 
 
+def sampled_labels(labels: DataFrame, target_rows: int) -> DataFrame:
+    """(doc_id, _q): at most ``target_rows`` labelled documents, chosen by a hash; the worse label counts where they differ."""
+    known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("_q"))
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows)
+
+
 def fit(docs: DataFrame, labels: DataFrame, target_rows: int = 20_000, buckets: int = BUCKETS) -> np.ndarray | None:
     """Log ratio target / raw per bucket; None without good and bad labels."""
-    known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("_q"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows)
+    chosen = sampled_labels(labels, target_rows)
 
     def count(batches):
+        enter("importance")
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
             texts, good = [t or "" for t in batch.column(0).to_pylist()], batch.column(1).to_numpy(zero_copy_only=False)
@@ -98,33 +107,21 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = 20_000, buckets:
 
 
 def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """docs' (doc_id, log_weight, n_grams) by the models' ratio (a table of fixed size)."""
+    """docs' (doc_id, text_key, log_weight, n_grams) by the models' ratio (a table of fixed size)."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def score(batches):
+        enter("importance")
         r = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             for a, b in blocks(texts):
                 at, doc = ngram_buckets(texts[a:b], len(r))
                 w = np.bincount(doc, r[at], b - a)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.round(w, 6)), pa.array(np.bincount(doc, minlength=b - a))], names=["doc_id", "log_weight", "n_grams"])
+                own = [c.slice(a, b - a) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.round(w, 6)), pa.array(np.bincount(doc, minlength=b - a))], names=["doc_id", "text_key", "log_weight", "n_grams"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {dict(docs.dtypes)['doc_id']}, log_weight double, n_grams long")
-
-
-def best_cut(weights: list[tuple[float, bool]]) -> float:
-    """The log weight from which documents count as good: it maximises the share of good kept plus the share of bad left,
-    and lies halfway down the gap below the good ones so that clean documents stay."""
-    good, bad = sorted(w for w, y in weights if y), sorted(w for w, y in weights if not y)
-    if not good or not bad:
-        return float("-inf")
-    g, b = np.array(good), np.array(bad)
-    cuts = np.unique(np.concatenate([g, b]))
-    worth = (len(g) - np.searchsorted(g, cuts)) / len(g) * 2 + np.searchsorted(b, cuts) / len(b)
-    cut = float(cuts[int(np.argmax(worth))])
-    below = b[b < cut]
-    return (cut + float(below[-1])) / 2 if len(below) else cut - 1.0
+    return docs.select("doc_id", row_key("text").alias("text_key"), "text").mapInArrow(score, f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, log_weight double, n_grams long")
 
 
 def gumbel_key(temperature: float, seed: int):
@@ -155,18 +152,28 @@ def top_k_threshold(keys: DataFrame, k: int, ranges: int = 4096) -> float | None
     return low
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, temperature: float = 0.25, seed: int = 7, target_rows: int = 20_000) -> DataFrame:
-    """(doc_id, log_weight, key, kept) for every row of docs."""
+def _judged(docs: DataFrame, labels: DataFrame, k: int | None, share: float | None, temperature: float, seed: int, target_rows: int) -> DataFrame | None:
     ratio = fit(docs, labels, target_rows)
     if ratio is None:
-        return docs.select("doc_id", F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("key"), F.lit(True).alias("kept"))
+        return None
     weights = stored(log_weights(docs, ratio).withColumn("key", gumbel_key(temperature, seed)), "weights")
     if k is None:
-        known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("_q"))
-        chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows)
-        seen = weights.join(F.broadcast(chosen), "doc_id").select("log_weight", "_q").collect()
-        cut = best_cut([(r.log_weight, r._q == 1) for r in seen])
-        k = weights.where(F.col("log_weight") >= cut).count()
+        share = sampled_labels(labels, target_rows).agg(F.avg("_q")).first()[0] if share is None else share
+        k = round(share * weights.count())
     least = top_k_threshold(weights, k)
     kept = F.lit(False) if least is None else F.col("key") >= F.lit(least)
-    return weights.select("doc_id", "log_weight", "key", kept.alias("kept"))
+    return weights.withColumn("kept", kept)
+
+
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, share: float | None = None, temperature: float = 1.0, seed: int = 7, target_rows: int = 20_000) -> DataFrame:
+    """(doc_id, log_weight, key, kept) for every row of docs."""
+    judged = _judged(docs, labels, k, share, temperature, seed, target_rows)
+    if judged is None:
+        return docs.select("doc_id", F.lit(0.0).alias("log_weight"), F.lit(0.0).alias("key"), F.lit(True).alias("kept"))
+    return judged.select("doc_id", "log_weight", "key", "kept")
+
+
+def keep(docs: DataFrame, labels: DataFrame, k: int | None = None, share: float | None = None, temperature: float = 1.0, seed: int = 7, target_rows: int = 20_000) -> DataFrame:
+    """The rows of docs that resampling keeps, with all their columns; rows that share a doc_id are judged by their own text."""
+    judged = _judged(docs, labels, k, share, temperature, seed, target_rows)
+    return docs if judged is None else without_rows(docs, judged.where("NOT kept"))

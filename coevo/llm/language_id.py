@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, blocks, per_document, split_blank
+from .common import WordTable, blocks, enter, keep, per_document, split_blank
 
 DIMENSIONS = 1024
-_VECTORS: dict[tuple[int, int], np.ndarray] = {}
-_WORDS: list[WordTable] = []
+_VECTORS: dict[tuple[int, int], np.ndarray] = keep("language", {})
+_WORDS: list[WordTable] = keep("language", [])
 
 
 def letter_vector(code: int, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -63,6 +63,7 @@ def _windows(words: list[str]) -> list[list[int]]:
 
 def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """float64 rows of whole numbers, one per text."""
+    enter("language")
     if not _WORDS:
         _WORDS.append(WordTable(_windows, np.int64))
     flat, size = per_document(_WORDS[0], texts, split_blank)

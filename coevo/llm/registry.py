@@ -48,7 +48,7 @@ def op5_importance_resampling(spark, sf_dir):
 
 def op6_hyperdimensional_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     langs, prototypes = language_id.fit(docs.where(~held_out))
     got = language_id.predict(docs, langs, prototypes)
     return got.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, stored
+from .common import blocks, enter, row_key, stored, without_rows
 from .components import components
 
 WORDS, BITS = 4, 4
@@ -65,15 +65,17 @@ def fingerprints(texts: list[str], words: int = WORDS) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp long) for every row of docs; fp holds the 64 bits."""
+    """(doc_id, text_key, fp long) for every row of docs; fp holds the 64 bits."""
 
     def run(batches):
+        enter("simhash")
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             for a, b in blocks(texts, 1_000_000):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(fingerprints(texts[a:b], words).view(np.int64))], names=["doc_id", "fp"])
+                own = [c.slice(a, b - a) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(fingerprints(texts[a:b], words).view(np.int64))], names=["doc_id", "text_key", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
+    return docs.select("doc_id", row_key().alias("text_key"), "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, fp long")
 
 
 def variants(fp) -> list:
@@ -156,20 +158,27 @@ def near_links(nodes: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of docs. The pigeonhole needs ``bits`` of at most five."""
+    """(doc_id, text_key, fp, component_id) for every row of docs. The pigeonhole needs ``bits`` of at most five."""
     if bits > 5:
         raise ValueError("three segments with one free bit find up to five differing bits")
     found = stored(with_fingerprints(docs, words), "fingerprints")
     nodes = stored(found.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
     linked = components(near_links(nodes, bits))
     owner = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return found.join(owner, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return found.join(owner, "fp", "left").select("doc_id", "text_key", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def _first_rows(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs without the rows that are not the first of their group by (doc_id, text_key); null ids stay."""
+    able = found.where("doc_id IS NOT NULL")
+    first = able.where("doc_id = component_id").groupBy("component_id").agg(F.min("text_key").alias("_first"))
+    return without_rows(docs, able.join(first, "component_id").where("doc_id <> component_id OR text_key <> _first"))
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """docs without the rows whose near-duplicate group has a smaller doc_id; rows with a null doc_id stay."""
-    gone = near_duplicates(docs, words, bits).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """One document of each near-duplicate group: the smallest doc_id, of rows that share it the text with the smallest hash.
+    Rows are told apart by doc_id and text, so rows equal in both stay or go together; rows with a null doc_id stay."""
+    return _first_rows(docs, near_duplicates(docs, words, bits))
 
 
 #: Bands of minima per document and minima in each: a pair of Jaccard similarity s shares a band with probability
@@ -195,14 +204,16 @@ def bands(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def with_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, fp, key, bands, shingles) for every row of docs: its distinct shingle hashes in order, and a hash of them."""
+    """(doc_id, text_key, fp, key, bands, shingles) for every row of docs: its distinct shingle hashes in order, and a hash of them."""
 
     def run(batches):
         from hashlib import blake2b
 
+        enter("simhash")
+
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in blocks(texts, 1_000_000):
+            texts = [t or "" for t in batch.column(2).to_pylist()]
+            for a, b in blocks(texts, 500_000):
                 sets = [np.unique(np.array(shingle_hashes(t, words), np.uint64)) for t in texts[a:b]]
                 counts = np.fromiter(map(len, sets), np.int64, len(sets))
                 some = np.flatnonzero(counts)
@@ -212,10 +223,10 @@ def with_sets(docs: DataFrame, words: int) -> DataFrame:
                     found[k] = row
                 raw = [s.astype("<u8").tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(fingerprints(texts[a:b], words).view(np.int64)), pa.array([blake2b(r, digest_size=16).hexdigest() for r in raw]),
-                    pa.array(found, pa.list_(pa.int64())), pa.array(raw, pa.binary())], names=["doc_id", "fp", "key", "bands", "shingles"])
+                    *(c.slice(a, b - a) for c in batch.columns[:2]), pa.array(fingerprints(texts[a:b], words).view(np.int64)), pa.array([blake2b(r, digest_size=16).hexdigest() for r in raw]),
+                    pa.array(found, pa.list_(pa.int64())), pa.array(raw, pa.binary())], names=["doc_id", "text_key", "fp", "key", "bands", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long, key string, bands array<long>, shingles binary")
+    return docs.select("doc_id", row_key().alias("text_key"), "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, fp long, key string, bands array<long>, shingles binary")
 
 
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -268,7 +279,7 @@ def _similar_links(batches, threshold: float):
 
 
 def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) for every row: groups of documents linked by a Jaccard similarity of their distinct shingles.
+    """(doc_id, text_key, component_id) for every row: groups of documents linked by a Jaccard similarity of their distinct shingles.
 
     Candidates are what the deletion variants link and what shares a band of minima, since fingerprints of 64 bits
     are too far apart at 0.8; only coarse groups of candidates are compared, all their pairs exactly and in blocks.
@@ -297,11 +308,10 @@ def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFram
     grouped = owner.join(fine, "node", "left").withColumn("group", F.coalesce("component", "node"))
     least = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
     named = grouped.join(least, "group").select("key", "component_id")
-    out = found.select("doc_id", "key").join(named, "key", "left")
-    return out.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    out = found.select("doc_id", "text_key", "key").join(named, "key", "left")
+    return out.select("doc_id", "text_key", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def keep_similar(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """docs without the rows whose group of similar documents has a smaller doc_id; rows with a null doc_id stay."""
-    gone = similar(docs, words, threshold).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """One document of each group of similar documents, chosen as by ``keep_first``."""
+    return _first_rows(docs, similar(docs, words, threshold))
