@@ -14,9 +14,7 @@ from coevo.llm.common import stored, table
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling rejects go."""
-    judged = importance.resample(docs, table(spark, sf_dir, "labels"))
-    gone = judged.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return importance.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
