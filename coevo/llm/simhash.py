@@ -16,6 +16,9 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+from itertools import chain, groupby
+from operator import itemgetter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,18 +48,13 @@ def shingle_hashes(text: str, words: int = WORDS) -> list[int]:
     return [digest(line[a:b], 42) for a, b in zip(starts, ends[words - 1:].tolist())]
 
 
-def fingerprints(texts: list[str], words: int = WORDS) -> np.ndarray:
-    """uint64 per text: a bit is set if over half of the text's shingle hashes have it."""
-    hashes: list[int] = []
-    counts = np.empty(len(texts), np.int64)
-    for k, t in enumerate(texts):
-        h = shingle_hashes(t, words)
-        counts[k] = len(h)
-        hashes += h
-    out = np.zeros(len(texts), np.uint64)
+def majority(found: list[list[int]]) -> np.ndarray:
+    """uint64 per list of hashes: a bit is set if over half of them have it."""
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    out = np.zeros(len(found), np.uint64)
     some = np.flatnonzero(counts)
     if len(some):
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        bits = np.unpackbits(np.fromiter(chain.from_iterable(found), "<u8", int(counts.sum())).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         starts = (np.cumsum(counts) - counts)[some]
         sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         major = (2 * sums > counts[some][:, None]).astype(np.uint8)
@@ -64,6 +62,10 @@ def fingerprints(texts: list[str], words: int = WORDS) -> np.ndarray:
     return out
 
 
+def fingerprints(texts: list[str], words: int = WORDS) -> np.ndarray:
+    return majority([shingle_hashes(t, words) for t in texts])
+
+
 def with_fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, text_key, fp long) for every row of docs; fp holds the 64 bits."""
 
@@ -184,8 +186,8 @@ def keep_first(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFra
 #: Bands of minima per document and minima in each: a pair of Jaccard similarity s shares a band with probability
 #: 1 - (1 - s^ROWS)^BANDS, 0.9993 at 0.8.
 BANDS, ROWS = 24, 6
-#: Shingle sets in a block of exact comparison, and shingles counted at once.
-BLOCK, PART = 256, 4096
+#: Shingle sets in a block of exact comparison, leaders of a group, and shingles counted at once.
+BLOCK, PIVOTS, PART = 256, 8, 4096
 _MIX = np.random.default_rng(7).integers(1, 1 << 63, (BANDS, ROWS, 2), np.uint64) | np.uint64(1)
 
 
@@ -203,30 +205,34 @@ def bands(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def with_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, text_key, fp, key, bands, shingles) for every row of docs: its distinct shingle hashes in order, and a hash of them."""
+def shingle_set(text: str, words: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text, words), np.uint64))
+
+
+def with_signatures(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, text_key, fp, key, bands) for every row of docs; key is a hash of its distinct shingles, null without words."""
 
     def run(batches):
         from hashlib import blake2b
 
         enter("simhash")
-
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for a, b in blocks(texts, 500_000):
-                sets = [np.unique(np.array(shingle_hashes(t, words), np.uint64)) for t in texts[a:b]]
+                hashes = [shingle_hashes(t, words) for t in texts[a:b]]
+                sets = [np.unique(np.array(h, np.uint64)) for h in hashes]
                 counts = np.fromiter(map(len, sets), np.int64, len(sets))
                 some = np.flatnonzero(counts)
                 keys = bands(np.concatenate(sets), counts[some]).tolist() if len(some) else []
                 found = [[] for _ in sets]
                 for k, row in zip(some.tolist(), keys):
                     found[k] = row
-                raw = [s.astype("<u8").tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    *(c.slice(a, b - a) for c in batch.columns[:2]), pa.array(fingerprints(texts[a:b], words).view(np.int64)), pa.array([blake2b(r, digest_size=16).hexdigest() for r in raw]),
-                    pa.array(found, pa.list_(pa.int64())), pa.array(raw, pa.binary())], names=["doc_id", "text_key", "fp", "key", "bands", "shingles"])
+                    *(c.slice(a, b - a) for c in batch.columns[:2]), pa.array(majority(hashes).view(np.int64)),
+                    pa.array([blake2b(s.astype("<u8").tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], pa.string()),
+                    pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "text_key", "fp", "key", "bands"])
 
-    return docs.select("doc_id", row_key().alias("text_key"), "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, fp long, key string, bands array<long>, shingles binary")
+    return docs.select("doc_id", row_key().alias("text_key"), "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, fp long, key string, bands array<long>")
 
 
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -248,48 +254,57 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _similar_links(batches, threshold: float):
-    """Rows (task, node, shingles) sorted by task: links that connect all pairs of a task with that Jaccard similarity."""
+    """Rows (task, side, node, shingles) sorted by task: links that connect the pairs of a task with that Jaccard similarity.
+    Rows of side 1 are compared with all rows; where a task has none, all are compared with each other."""
 
     def compare(rows):
-        sets = [np.frombuffer(r[2], "<u8") for r in rows]
+        sets = [np.frombuffer(r[3], "<u4") for r in rows]
         size = np.array([len(s) for s in sets], np.float64)
         common = _shared(sets)
         near = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
+        side = np.array([r[1] for r in rows])
+        if side.any():
+            near &= (side[:, None] + side[None, :]) > 0
         a, b, left = [], [], np.arange(len(rows))
         while len(left):
             queue, left = [left[0]], left[1:]
             while queue and len(left):
                 k = queue.pop()
                 hit = near[k, left]
-                a += [rows[k][1]] * int(hit.sum())
-                b += [rows[x][1] for x in left[hit]]
+                a += [rows[k][2]] * int(hit.sum())
+                b += [rows[x][2] for x in left[hit]]
                 queue += left[hit].tolist()
                 left = left[~hit]
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    held: list[tuple] = []
-    for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns]):
-            if held and row[0] != held[0][0]:
-                yield compare(held)
-                held = []
-            held.append(row)
-    if held:
-        yield compare(held)
+    rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+    for _, own in groupby(rows, key=itemgetter(0)):
+        yield compare(list({r[2]: r for r in sorted(own, key=itemgetter(1))}.values()))
+
+
+def _compared(dealt: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) links of rows (task, side, node, shingles)."""
+    dealt = dealt.repartition("task").sortWithinPartitions("task", "node")
+    return dealt.mapInArrow(lambda b: _similar_links(b, threshold), "a long, b long")
 
 
-def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
+def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8, block: int = BLOCK, pivots: int = PIVOTS) -> DataFrame:
     """(doc_id, text_key, component_id) for every row: groups of documents linked by a Jaccard similarity of their distinct shingles.
 
     Candidates are what the deletion variants link and what shares a band of minima, since fingerprints of 64 bits
-    are too far apart at 0.8; only coarse groups of candidates are compared, all their pairs exactly and in blocks.
-    Equal sets are one node, texts without words are equal, and a null doc_id links with nothing.
+    are too far apart at 0.8; only coarse groups of candidates are compared, exactly. A group goes in blocks, each of
+    which is compared in itself and with the group's ``pivots`` leaders, chosen by a hash. Of a group of several blocks, what this has not
+    joined to its largest part is then compared with the whole group, in pairs of blocks: all links that could still join
+    something, while a dense group costs its size and not its square.
+
+    Equal sets are one node, texts without words are equal, and a null doc_id links with nothing. Shingles are compared by
+    32 bits of their hashes.
     """
-    found = stored(with_sets(docs, words), "sets")
+    found = stored(with_signatures(docs, words), "signatures")
     able = found.where("doc_id IS NOT NULL")
-    owner = stored(able.groupBy("key").agg(F.min("doc_id").alias("id"), F.min("fp").alias("fp")).withColumn("node", F.xxhash64("key")), "nodes")
-    sets = able.join(owner.select("key", F.col("id").alias("doc_id"), "node"), ["key", "doc_id"]).where("octet_length(shingles) > 0").dropDuplicates(["key"])
-    sets = stored(sets.select("node", "fp", "bands", "shingles"), "distinct")
+    first = F.min(F.struct("doc_id", "text_key", "fp", "bands")).alias("f")
+    owner = stored(able.groupBy("key").agg(first).select("key", "f.*", F.xxhash64("key").alias("node")), "nodes")
+    nodes = owner.where("key IS NOT NULL")
 
     def band_links(batches):
         for key, node in sorted_runs(batches, 2):
@@ -297,18 +312,48 @@ def similar(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFram
             first = np.repeat(node[cuts], np.diff(np.append(cuts, len(key))))
             yield pa.RecordBatch.from_arrays([pa.array(first[first != node]), pa.array(node[first != node])], names=["a", "b"])
 
-    banded = sets.select(F.explode("bands").alias("band"), "node").repartition("band").sortWithinPartitions("band", "node").mapInArrow(band_links, "a long, b long")
-    coarse = stored(components(banded.union(near_links(sets.select("fp", "node")))), "coarse")
-    size = coarse.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("n"))
-    dealt = coarse.join(size, "component").join(sets.select("node", "shingles"), "node").withColumn("i", F.pmod(F.xxhash64("node"), F.col("n")))
-    dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    task = F.concat_ws(":", "component", F.least("i", "j"), F.greatest("i", "j"))
-    dealt = dealt.select(task.alias("task"), "node", "shingles").repartition("task").sortWithinPartitions("task", "node")
-    fine = stored(components(dealt.mapInArrow(lambda b: _similar_links(b, threshold), "a long, b long")), "similar")
+    banded = nodes.select(F.explode("bands").alias("band"), "node").repartition("band").sortWithinPartitions("band", "node").mapInArrow(band_links, "a long, b long")
+    coarse = stored(components(banded.union(near_links(nodes.select("fp", "node")))), "coarse")
+
+    def sets(batches):
+        enter("simhash")
+        for batch in batches:
+            for a, b in blocks(batch.column(2).to_pylist(), 500_000):
+                texts = batch.column(2).slice(a, b - a).to_pylist()
+                raw = [(shingle_set(t, words) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for t in texts]
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:2]), pa.array(raw, pa.binary())], names=["node", "component", "shingles"])
+
+    named = coarse.join(nodes.select("node", "doc_id", "text_key"), "node")
+    texts = docs.select(F.col("doc_id").alias("_id"), row_key().alias("_key"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.dropDuplicates(["_id", "_key"]).join(named, (F.col("_id") == F.col("doc_id")) & (F.col("_key") == F.col("text_key"))).select("node", "component", "text")
+    shingles = stored(texts.mapInArrow(sets, "node long, component long, shingles binary"), "shingles")
+
+    leaders = [F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(pivots)]
+    large = coarse.groupBy("component").agg(F.count("*").alias("n"), F.array(*leaders).alias("lead")).where(F.col("n") > block)
+    large = large.select("component", F.ceil(F.col("n") / block).cast("long").alias("n"), "lead")
+    dealt = shingles.join(large, "component", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    every = F.when(F.array_contains("lead", F.col("node")), F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("n"))))
+    dealt = dealt.withColumn("i", F.explode(every))
+    linked = stored(_compared(dealt.select(F.concat_ws(":", "component", "i").alias("task"), F.lit(0).alias("side"), "node", "shingles"), threshold), "links")
+    parts = components(linked)
+    # large groups: what is outside the largest part against everything
+    part = coarse.join(large.select("component", "n"), "component").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    part = stored(part, "parts")
+    sizes = part.groupBy("component", "part").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("component").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("c"))
+    main = main.where("all > c").select("component", "main", F.ceil((F.col("all") - F.col("c")) / block).cast("long").alias("m"))
+    rest = shingles.join(part.drop("component"), "node").join(main, "component").withColumn("outside", F.col("part") != F.col("main"))
+    own, other = F.pmod(F.xxhash64("node"), F.col("n")), F.pmod(F.xxhash64("node", F.lit(1)), F.col("m"))
+    grid = lambda a, b, side: F.struct(a.alias("i"), b.alias("j"), F.lit(side).alias("side"))
+    inside = F.transform(F.sequence(F.lit(0).cast("long"), F.col("m") - 1), lambda j: grid(own, j, 0))
+    outside = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: grid(i, other, 1))
+    rest = rest.withColumn("g", F.explode(F.when(F.col("outside"), F.concat(outside, inside)).otherwise(inside)))
+    more = _compared(rest.select(F.concat_ws(":", "component", "g.i", "g.j").alias("task"), F.col("g.side").alias("side"), "node", "shingles"), threshold)
+    fine = stored(components(linked.union(more)), "similar")
     grouped = owner.join(fine, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    least = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
+    least = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(least, "group").select("key", "component_id")
-    out = found.select("doc_id", "text_key", "key").join(named, "key", "left")
+    out = found.select("doc_id", "text_key", F.col("key").alias("_key")).join(named, F.col("_key").eqNullSafe(F.col("key")), "left")
     return out.select("doc_id", "text_key", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 

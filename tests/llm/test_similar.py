@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_near import smallest_reachable
 
 import corpus_pipeline
@@ -54,3 +55,27 @@ def test_changed_words(spark, edge_docs, no_docs):
     got = [x.doc_id for x in simhash.keep_similar(docs).collect()]
     assert got.count(None) == 2 and sorted(k for k in got if k is not None) == want
     assert simhash.keep_similar(no_docs).collect() == []
+
+
+def test_groups_of_many_blocks(spark):
+    """A dense group, a chain whose ends are far apart, and two groups that one document joins, in blocks of a few sets."""
+    r = np.random.default_rng(6)
+    words = lambda n: [f"w{x}" for x in r.integers(0, 10**7, n)]
+    rows, base = [], words(300)
+    for k in range(60):
+        own = list(base)
+        own[int(r.integers(0, 300))] = f"x{k}"
+        rows.append(own)
+    chain = words(150)
+    for k in range(40):
+        rows.append(chain[2 * k:2 * k + 90])
+    rows = [(k * 7 % 101, " ".join(w)) for k, w in enumerate(rows)]
+    rows += [(200, rows[0][1]), (201, "a b"), (201, rows[1][1]), (202, rows[1][1] + " zz"), (None, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_key", F.lit(1)).withColumn("component", F.lit(2))
+    able = sorted((k for k in rows if k[0] is not None), key=lambda x: x[0])
+    want, _ = plain_kept(able)
+    for args in ({}, {"block": 7, "pivots": 2}, {"block": 3, "pivots": 1}):
+        got = {(x.doc_id, x.component_id) for x in simhash.similar(docs, **args).collect()}
+        assert sorted(a for a, b in got if a == b and a is not None) == sorted(set(want)) and (None, None) in got
+    kept = simhash.keep_similar(docs)
+    assert kept.columns == docs.columns and (201, "a b") in [(x.doc_id, x.text) for x in kept.collect()]
