@@ -1,16 +1,21 @@
 """BPE encoding and decoding with a public tokenizer file.
 
-Texts are cut into the tokenizer's own pieces (letter runs, single digits, runs of other signs), over
-which it never merges; each distinct piece is encoded once per worker. A piece longer than ``LONG``
-characters ("long unsplit text") is encoded as a tree: its leaves first, each on its own, then
-neighbours are joined level by level, so that all joins of a level could run side by side.
-A join re-encodes a window around the seam and doubles it until the window's first and last token
-are those that the two sides have there. A token sequence is the BPE encoding of its text exactly
-if each two neighbours are an encoding of their own text, so agreement on one token on either
-side makes the join exact.
-
-Defined results: null text is the empty text; empty text gives no ids; repeated rows give repeated
-rows; extra columns are dropped; the row order is not kept.
+A text longer than ``LEAF`` characters is encoded as a tree: it is cut into leaves of that many characters, wherever the
+cut falls, each leaf is encoded on its own, and neighbours are joined level by level, so that all leaves, and all joins of
+a level, could run side by side. A join re-encodes a window around the seam and lets it grow until what it begins and
+ends with is what the two sides have there. There are two kinds of seam:
+
+- Between words the tokenizer never merges. The window grows to the next blank on either side; both sides agree if
+  their pieces (letter runs, single digits, runs of other signs) next to the seam are those of the window's two halves, and
+  the pieces in the window then replace them.
+- Within a piece of more than ``LONG`` characters (long unsplit text) the same is done with tokens: a token sequence is the
+  BPE encoding of its text exactly if each two neighbours are an encoding of their own text, so agreement on one
+  token on either side makes the join exact.
+
+Each distinct short piece is encoded once per worker and looked up in the leaves and windows.
+
+Defined results: null text is the empty text; empty text gives no ids; very long texts are encoded whole; repeated rows
+give repeated rows; extra columns, whatever their names, are dropped; the row order is not kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +29,8 @@ from pyspark.sql import DataFrame
 
 from .common import WordTable, blocks, enter, keep, per_document, split_blank
 
-LONG, LEAF = 2048, 512
+#: Characters of a leaf of a text; of the longest piece that is encoded at once, and of a leaf of longer ones.
+LEAF, LONG, PIECE_LEAF = 2048, 2048, 512
 _ENCODERS: dict[str, "Encoder"] = keep("tokens", {})
 
 #: Lower-case letters, numbers and white space up to U+017F, where no two characters compose (so NFC
@@ -32,6 +38,8 @@ _ENCODERS: dict[str, "Encoder"] = keep("tokens", {})
 _L = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f"
 _N = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _PIECES = re.compile(f"[{_L}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_N}]|[^\\t-\\r \x85\xa0{_L}{_N}]+")
+#: Blanks at which the tokenizer always cuts.
+BLANKS = " \t\n\r"
 _BEYOND = re.compile("[^\x00-\u017f]")
 
 
@@ -45,7 +53,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Exact ids for whole texts; one per Python worker and tokenizer file."""
 
-    def __init__(self, path: str, most_words: int = 500_000, long: int = LONG, leaf: int = LEAF):
+    def __init__(self, path: str, most_words: int = 500_000, leaf: int = LEAF, long: int = LONG, piece_leaf: int = PIECE_LEAF):
         from tokenizers import Tokenizer, models
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -63,7 +71,8 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.strings = {i: s for s, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.long, self.leaf = long, leaf
+        self.leaf, self.long, self.piece_leaf = leaf, long, piece_leaf
+        self.joins = {"text": 0, "piece": 0}
         self.pieces = WordTable(self._new, np.uint32, most_words)
 
     def _new(self, pieces: list[str]) -> list[list[int]]:
@@ -98,9 +107,43 @@ class Encoder:
                     add_all(cut(w))
         return out
 
+    def tree(self, text: str) -> list[str]:
+        """The pieces of a whole text, by leaves and joins."""
+        if len(text) <= self.leaf:
+            return self.split(text)
+        level = [(a, self.split(text[a:a + self.leaf])) for a in range(0, len(text), self.leaf)]
+        ends = [*(a for a, _ in level[1:]), len(text)]
+        while len(level) > 1:
+            joined, new = [], []
+            for k in range(0, len(level) - 1, 2):
+                joined.append((level[k][0], self._seam(text, level[k], level[k + 1], ends[k + 1])))
+                new.append(ends[k + 1])
+            if len(level) % 2:
+                joined.append(level[-1])
+                new.append(ends[-1])
+            level, ends = joined, new
+        return level[0][1]
+
+    def _seam(self, text: str, left: tuple[int, list[str]], right: tuple[int, list[str]], stop: int) -> list[str]:
+        self.joins["text"] += 1
+        start, before = left
+        seam, after = right
+        wide = 16
+        while True:
+            a, b = max(start, seam - wide), min(stop, seam + wide)
+            begin = max(text.rfind(c, a, seam) for c in BLANKS) + 1
+            end = min((k for c in BLANKS if (k := text.find(c, seam, b)) >= 0), default=-1)
+            if (begin or a == start) and (end >= 0 or b == stop):
+                begin, end = max(begin, a), end if end >= 0 else stop
+                tail, head = self.split(text[begin:seam]), self.split(text[seam:end])
+                kept = len(before) - len(tail)
+                if before[kept:] == tail and after[:len(head)] == head:
+                    return before[:kept] + self.split(text[begin:end]) + after[len(head):]
+            wide *= 2
+
     def encode(self, texts: list[str]):
         """(ids of all texts one after the other, ids per text)."""
-        return per_document(self.pieces, texts, self.split)
+        return per_document(self.pieces, texts, self.tree)
 
     def decode(self, ids) -> str:
         return " ".join([self.strings[i] for i in ids])
@@ -114,10 +157,10 @@ class Encoder:
         return out
 
     def _tree(self, text: str) -> list[tuple[int, int]]:
-        if len(text) <= self.leaf:
+        if len(text) <= self.piece_leaf:
             return self._tokens(text, True)
-        starts = list(range(0, len(text), self.leaf))
-        level = [self._tokens(text[s:s + self.leaf], s == starts[-1]) for s in starts]
+        starts = list(range(0, len(text), self.piece_leaf))
+        level = [self._tokens(text[s:s + self.piece_leaf], s == starts[-1]) for s in starts]
         while len(level) > 1:
             joined, new = [], []
             for k in range(0, len(level), 2):
@@ -132,6 +175,7 @@ class Encoder:
         return level[0]
 
     def _join(self, text: str, left: list, right: list, seam: int, last: bool) -> list:
+        self.joins["piece"] += 1
         wide = 4
         while True:
             a, b = min(wide, len(left)), min(wide, len(right))

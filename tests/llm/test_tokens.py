@@ -25,13 +25,41 @@ def library():
 
 def test_tree_joins_are_exact(library):
     r = random.Random(3)
-    small = bpe.Encoder(PATH, long=20, leaf=8)
+    small = bpe.Encoder(PATH, long=20, piece_leaf=8)
     for _ in range(400):
         letters = r.choice(["ab", "aeiothn", "abcdefghijklmnopqrstuvwxyz", "aé日ß", "a1!", "aſİ"])
         s = "".join(r.choice(letters) for _ in range(r.randint(21, 300)))
         assert small.encode([s])[0].tolist() == library.encode(s, add_special_tokens=False).ids
 
 
+    assert small.joins["piece"] > 400
+
+
+def test_text_trees_are_exact(library):
+    """Leaves cut words, contractions, special tokens and composed characters wherever they fall."""
+    r = random.Random(4)
+    parts = ["the", "it's", "WE'LL", "12345", "...!", "<|endoftext|>", "<|startoftext|>x", "<|endof", "e\u0301", "ſtraße", "İx", "日本語", "Σ", "ΑΣ", "\u0301", "a" * 40, "#*$", "\x0b", "\u2003", "\x85", "'", "l", "'re"]
+    trees = [bpe.Encoder(PATH, leaf=n, long=20, piece_leaf=8) for n in (1, 3, 7, 30)]
+    for _ in range(250):
+        s = "".join(r.choice(parts) + r.choice(["", "", " ", "\n", "\t", "  ", "\r\n"]) for _ in range(r.randint(1, 40)))
+        want = library.encode(s, add_special_tokens=False).ids
+        for t in trees:
+            assert t.encode([s])[0].tolist() == want, (s, t.leaf)
+    assert all(t.joins["text"] > 250 for t in trees)
+
+
+def test_whole_documents_are_joined(library, sample):
+    """Documents of the test tables go through the tree, and so does one of a million characters."""
+    enc = bpe.Encoder(PATH)
+    texts = [r.text or "" for r in sample.collect()]
+    for t in texts:
+        assert enc.encode([t])[0].tolist() == library.encode(t, add_special_tokens=False).ids
+    assert enc.joins["text"] >= sum((len(t) - 1) // enc.leaf for t in texts if t) > 100
+    long = ("word " * 3 + "x" * 5000 + ". ") * 200
+    assert enc.encode([long])[0].tolist() == library.encode(long, add_special_tokens=False).ids
+    assert enc.joins["piece"] > 0
+
+
 def test_encode_decode_like_the_library(spark, library, edge_docs, sample):
     docs = edge_docs.unionByName(sample.withColumn("doc_id", F.col("doc_id") + 1000))
     got = {r.doc_id: r for r in bpe.encode_documents(docs, PATH).collect()}
