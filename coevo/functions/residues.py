@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 ALPHABET = "acdefghiklmnpqrstvwy-ACDEFGHIKLMNPQRSTVWY"
 INVALID = 21
 STATES = {-1: "NOOPT", 0: "DONE", 1: "RUNNING", 2: "PENDING", 3: "RETRYING", 4: "FAILED"}
-#: Fixed pattern of sequence descriptions: OS, then OX, GN, PE and SV where present.
-DESCRIPTION = r"OS=(.*?)(?:\s+OX=(\d+))?(?:\s+GN=(\S+))?(?:\s+PE=(\d+))?(?:\s+SV=(\d+))?\s*$"
+#: The parts of a sequence description, in the order in which they stand.
+PARTS = ("OS", "OX", "GN", "PE", "SV")
 
 
 def encode(seq: Column) -> Column:
@@ -25,8 +25,11 @@ def decode(codes: Column) -> Column:
 
 
 def describe(description: Column) -> Column:
-    """struct os, ox, gn, pe, sv; missing parts are null."""
-    part = lambda k: F.nullif(F.regexp_extract(description, DESCRIPTION, k), F.lit(""))
+    """struct os, ox, gn, pe, sv. A part goes to the next blank before a later part, or to the end, blanks within it included;
+    all are null without OS, and one that is missing is null."""
+    lead, *rest = PARTS
+    pattern = f"{lead}=(.*?)" + "".join(f"(?:\\s{p}=(.*?))?" for p in rest) + "$"
+    part = lambda k: F.nullif(F.regexp_extract(description, pattern, k), F.lit(""))
     return F.struct(part(1).alias("os"), part(2).try_cast("int").alias("ox"), part(3).alias("gn"), part(4).alias("pe"), part(5).alias("sv"))
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 
 def site_frequencies(rows: DataFrame) -> DataFrame:
     """(i, a, f): weighted share of code a in column i (from 1). rows has codes and weight."""
@@ -13,12 +17,40 @@ def site_frequencies(rows: DataFrame) -> DataFrame:
     return long.crossJoin(F.broadcast(total)).select("i", "a", (F.col("w") / F.col("_b")).alias("f"))
 
 
-def pair_frequencies(rows: DataFrame) -> DataFrame:
-    """(i, j, a, b, f) of all ordered column pairs; both explosions are of the same row, so nothing is joined."""
-    total = rows.agg(F.sum("weight").alias("_b"))
-    long = rows.select("weight", "codes", F.posexplode("codes").alias("i", "a")).select("weight", "i", "a", F.posexplode("codes").alias("j", "b")).where("i <> j")
-    long = long.groupBy((F.col("i") + 1).alias("i"), (F.col("j") + 1).alias("j"), "a", "b").agg(F.sum("weight").alias("w"))
-    return long.crossJoin(F.broadcast(total)).select("i", "j", "a", "b", (F.col("w") / F.col("_b")).alias("f"))
+def pair_frequencies(rows: DataFrame, columns: int = 64, rows_each: int = 4096) -> DataFrame:
+    """(i, j, a, b, f) of all ordered column pairs, where f is not zero. Columns go in blocks and rows in parts; a task
+    multiplies two one-hot blocks of a part, and only sums of weights per pair of codes leave it."""
+    total = rows.agg(F.sum("weight").alias("_b"), F.ceil(F.count("*") / rows_each).cast("long").alias("_parts"), F.max(F.size("codes")).alias("_w"))
+    held = rows.crossJoin(F.broadcast(total))
+    last = F.greatest(F.ceil(F.col("_w") / columns) - 1, F.lit(0)).cast("int")
+    cut = lambda k: F.slice("codes", F.col(k) * columns + 1, F.lit(columns))
+    held = held.select("weight", "codes", "_w", F.pmod(F.xxhash64("codes", F.monotonically_increasing_id()), F.greatest("_parts", F.lit(1))).alias("part"), F.explode(F.sequence(F.lit(0), last)).alias("p"))
+    held = held.select("weight", "codes", "part", "p", F.explode(F.sequence(F.col("p"), F.greatest(F.ceil(F.col("_w") / columns) - 1, F.lit(0)).cast("int"))).alias("q"))
+    held = held.select("part", "p", "q", "weight", cut("p").alias("x"), cut("q").alias("y"))
+
+    def count(t: pa.Table) -> pa.Table:
+        p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
+        w = t.column("weight").to_numpy()
+        sides = []
+        for name, block in (("x", p), ("y", q)):
+            flat = t.column(name).combine_chunks()
+            codes = flat.flatten().to_numpy().reshape(len(flat), -1)
+            states = np.unique(codes)
+            one = (codes[:, :, None] == states).astype(np.float64)
+            place = np.arange(codes.shape[1])[:, None] + block * columns + 1
+            sides.append((one.reshape(len(codes), -1), np.broadcast_to(place, one.shape[1:]).ravel(), np.broadcast_to(states, one.shape[1:]).ravel()))
+        (x, i, a), (y, j, b) = sides
+        sums = (x * w[:, None]).T @ y
+        k, m = np.nonzero(sums)
+        other = i[k] != j[m]
+        k, m = k[other], m[other]
+        got = [i[k], j[m], a[k], b[m], sums[k, m]]
+        if p != q:  # the other order
+            got = [np.concatenate([x, y]) for x, y in zip(got, [got[1], got[0], got[3], got[2], got[4]])]
+        return pa.table({n: pa.array(v.astype(np.float64 if n == "w" else np.int32)) for n, v in zip("ijabw", got)})
+
+    sums = held.groupBy("part", "p", "q").applyInArrow(count, "i int, j int, a int, b int, w double").groupBy("i", "j", "a", "b").agg(F.sum("w").alias("w"))
+    return sums.crossJoin(F.broadcast(total)).select("i", "j", "a", "b", (F.col("w") / F.col("_b")).alias("f"))
 
 
 def covariance(rows: DataFrame) -> DataFrame:
@@ -43,6 +75,7 @@ def frobenius(blocks: DataFrame, gap: int = 0) -> DataFrame:
 
 def product_correction(norms: DataFrame) -> DataFrame:
     """(pos1, pos2, score) with the diagonal (norm 0); means divide by N - 1. Row sums and the total have at most N rows."""
+    norms = stored(norms, "norms")
     sites = norms.select(F.col("pos1").alias("pos")).distinct()
     full = norms.unionByName(sites.select(F.col("pos").alias("pos1"), F.col("pos").alias("pos2"), F.lit(0.0).alias("fn")))
     row = norms.groupBy(F.col("pos1").alias("_p")).agg(F.sum("fn").alias("_s"))
@@ -93,28 +126,31 @@ def overlap(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
     return top_k(a, k).select("pos1", "pos2").intersect(top_k(b, k).select("pos1", "pos2"))
 
 
-def average_rank(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Ranks with ties averaged, from counts per value: the cumulative counts are over distinct values in ranges, not one sorted task of all rows."""
+def _value_ranks(df: DataFrame, column: str, out: str) -> DataFrame:
+    """(column, out): the rank of each value, ties averaged, from counts per value. Values are in ranges whose numbers are
+    stored with them; the cumulative counts are within ranges, after those of the ranges before, and no task sorts all rows."""
     per = df.groupBy(column).agg(F.count("*").alias("_c"))
-    part = per.repartitionByRange(column).withColumn("_p", F.spark_partition_id())
-    sums = part.groupBy("_p").agg(F.sum("_c").alias("_s"))
+    part = stored(per.repartitionByRange(column).withColumn("_p", F.spark_partition_id()), "ranges")
+    sums = part.groupBy("_p").agg(F.sum("_c").alias("_s"))  # a row per range
     before = sums.select("_p", (F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_s")).alias("_before"))
     within = F.sum("_c").over(Window.partitionBy("_p").orderBy(column).rowsBetween(Window.unboundedPreceding, 0))
-    ranks = part.withColumn("_in", within).join(F.broadcast(before), "_p").select(column, (F.col("_before") + F.col("_in") - (F.col("_c") - 1) / 2).alias(out))
-    return df.join(ranks, column)
+    return part.withColumn("_in", within).join(F.broadcast(before), "_p").select(column, (F.col("_before") + F.col("_in") - (F.col("_c") - 1) / 2).alias(out))
+
+
+def average_rank(df: DataFrame, column: str, out: str) -> DataFrame:
+    """df with the rank of a column's value, ties averaged."""
+    return df.join(_value_ranks(df, column, out), column)
 
 
 def spearman(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row (n, rho) over the pairs that both have."""
-    both = a.select("pos1", "pos2", F.col("score").alias("x")).join(b.select("pos1", "pos2", F.col("score").alias("y")), ["pos1", "pos2"])
-    ranked = average_rank(average_rank(both, "x", "rx"), "y", "ry")
+    both = stored(a.select("pos1", "pos2", F.col("score").alias("x")).join(b.select("pos1", "pos2", F.col("score").alias("y")), ["pos1", "pos2"]), "scores")
+    ranked = both.join(_value_ranks(both, "x", "rx"), "x").join(_value_ranks(both, "y", "ry"), "y")
     return ranked.agg(F.count("*").alias("n"), F.corr("rx", "ry").alias("rho"))
 
 
 def spearman_p(rho: float, n: int) -> float:
     """Two-sided p by Student's t with n - 2 degrees, by numeric integration."""
-    import numpy as np
-
     if n < 3:
         return float("nan")
     if abs(rho) >= 1:
@@ -128,9 +164,11 @@ def spearman_p(rho: float, n: int) -> float:
 
 def ecdf(scores: DataFrame) -> DataFrame:
     """(score, share of scores at most that)."""
-    n = scores.count()
-    got = average_rank(scores.select("score"), "score", "_r").groupBy("score", "_r").agg(F.count("*").alias("_c"))
-    return got.select("score", ((F.col("_r") + (F.col("_c") - 1) / 2) / n).alias("share"))
+    held = stored(scores.select("score"), "scores")
+    counts = held.groupBy("score").agg(F.count("*").alias("_c"))
+    n = held.agg(F.count("*").alias("_n"))
+    got = _value_ranks(held, "score", "_r").join(counts, "score").crossJoin(F.broadcast(n))
+    return got.select("score", ((F.col("_r") + (F.col("_c") - 1) / 2) / F.col("_n")).alias("share"))
 
 
 def normalised(scores: DataFrame, neff: float, length: int) -> DataFrame:

@@ -7,24 +7,30 @@ from pyspark.sql import functions as F
 
 from ..functions.residues import ALPHABET, encode
 
-SRC = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ \n."
-DST = "ANCDEFGHILKLMNQPQRSTCVWAYQ" * 2 + "---"
-#: First character, width, and species rule of each proxy alignment.
-SHAPE = {"a": (1, 48, 1, 97), "b": (49, 32, 7, 101)}
+SRC = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ \n"
+DST = "ANCDEFGHILKLMNQPQRSTCVWAYQ" * 2 + "--"
+#: Width and species rule of each proxy alignment. A whole text becomes consecutive rows of that width, the last one filled up.
+SHAPE = {"a": (48, 1, 97), "b": (32, 7, 101)}
+#: Row number of a text's k-th row: doc_id times this, and k.
+STEP = 1_000_000
 SPLIT = 24  # columns of chain A in alignment a
 SCALE, CUTOFF = 40.0, 8.0
+#: Sequences that go into weights and fits, as in the reference's own configuration: more are sampled down.
+SAMPLE = 30_000
 
 
 def sequences(spark: SparkSession, sf_dir: str, which: str = "a") -> DataFrame:
-    first, width, times, species = SHAPE[which]
-    seq = F.rpad(F.substr(F.translate(F.coalesce("text", F.lit("")), SRC, DST), F.lit(first), F.lit(width)), width, "-")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    name = F.concat(F.lit("prot"), (F.col("doc_id") % 7).cast("string"), F.lit("/"), F.col("doc_id").cast("string"))
-    return docs.select(F.col("doc_id").alias("row_idx"), name.alias("name"), (F.col("doc_id") * times % species).alias("ox"), seq.alias("seq"))
+    width, times, species = SHAPE[which]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.translate(F.coalesce("text", F.lit("")), SRC, DST).alias("t"))
+    last = F.greatest(F.ceil(F.length("t") / width) - 1, F.lit(0))
+    rows = docs.select("doc_id", "t", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("k"))
+    rows = rows.select("doc_id", (F.col("doc_id") * STEP + F.col("k")).alias("row_idx"), F.rpad(F.substr("t", (F.col("k") * width + 1).cast("int"), F.lit(width)), width, "-").alias("seq"))
+    name = F.concat(F.lit("prot"), (F.col("doc_id") % 7).cast("string"), F.lit("/"), F.col("row_idx").cast("string"))
+    return rows.select("row_idx", name.alias("name"), (F.col("doc_id") * times % species).alias("ox"), "seq")
 
 
 def alignment(spark: SparkSession, sf_dir: str, which: str = "a") -> DataFrame:
-    return sequences(spark, sf_dir, which).withColumn("codes", encode(F.col("seq"))).drop("seq")
+    return sequences(spark, sf_dir, which).withColumn("codes", encode(F.col("seq")))
 
 
 def clean(spark: SparkSession, sf_dir: str, which: str = "a") -> DataFrame:
@@ -57,14 +63,19 @@ def running(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_alignment(which: str = "a") -> str:
     """CTEs seq_, msa_ (long form, pos from 1) and ok_ (ids of clean rows) of a proxy alignment."""
-    first, width, times, species = SHAPE[which]
+    width, times, species = SHAPE[which]
     return f"""
-seq_{which} AS (SELECT doc_id AS row_idx, doc_id * {times} % {species} AS ox,
-  'prot' || (doc_id % 7) || '/' || doc_id AS name,
-  rpad(substr(translate(coalesce(text, ''), '{SRC}', '{DST}'), {first}, {width}), {width}, '-') AS seq FROM documents),
-msa_{which} AS (SELECT row_idx, ox, name, pos, CASE WHEN instr('{ALPHABET}', substr(seq, pos, 1)) = 0 THEN 21
+text_{which} AS (SELECT doc_id, translate(coalesce(text, ''), '{SRC}', '{DST}') AS t FROM documents),
+cut_{which} AS (SELECT doc_id, t, unnest(range(0, greatest(1, CAST(ceil(length(t) / {width}) AS BIGINT)))) AS k FROM text_{which}),
+seq_{which} AS (SELECT doc_id * {STEP} + k AS row_idx, doc_id * {times} % {species} AS ox,
+  'prot' || (doc_id % 7) || '/' || (doc_id * {STEP} + k) AS name,
+  rpad(substr(t, k * {width} + 1, {width}), {width}, '-') AS seq FROM cut_{which}),
+msa_{which} AS (SELECT row_idx, ox, name, pos, substr(seq, pos, 1) AS raw,
+  CASE WHEN substr(seq, pos, 1) = '.' THEN 0 WHEN instr('{ALPHABET}', substr(seq, pos, 1)) = 0 THEN 21
   ELSE instr('{ALPHABET}', substr(seq, pos, 1)) - 21 END AS code
   FROM seq_{which}, (SELECT CAST(range AS INTEGER) AS pos FROM range(1, {width + 1}))),
-ok_{which} AS (SELECT row_idx, ox, name FROM msa_{which} GROUP BY ALL
+ok_{which} AS MATERIALIZED (SELECT row_idx, ox, name FROM msa_{which} GROUP BY ALL
   HAVING max(code) <= 20 AND 2 * count(*) FILTER (code = 0) <= {width}),
-clean_{which} AS (SELECT m.* FROM msa_{which} m JOIN ok_{which} USING (row_idx))"""
+clean_{which} AS MATERIALIZED (SELECT m.* FROM msa_{which} m JOIN ok_{which} USING (row_idx)),
+used_{which} AS MATERIALIZED (SELECT row_idx, translate(seq, '.', '-') AS seq FROM seq_{which} JOIN ok_{which} USING (row_idx)
+  ORDER BY row_idx <> (SELECT min(row_idx) FROM ok_{which}), md5('42-' || row_idx), row_idx LIMIT {SAMPLE})"""

@@ -8,6 +8,7 @@ from ..functions import residues as R
 from ..operators import alignment as A
 from ..operators import couplings as C
 from ..operators import fit, interface, jobs
+from ..sources.shared import stored
 from . import proxies as P
 
 QUERIES: dict = {}
@@ -27,9 +28,9 @@ def query(sql: str | None = None):
 MSA = P.sql_alignment("a")
 BOTH = MSA + "," + P.sql_alignment("b")
 GAPPED = f"""{MSA},
-q AS (SELECT pos, code AS qc FROM clean_a WHERE row_idx = (SELECT min(row_idx) FROM ok_a)),
-kept0 AS (SELECT m.* FROM clean_a m JOIN q USING (pos) WHERE qc <> 0),
-wide AS (SELECT count(*) AS l FROM q WHERE qc <> 0),
+q AS (SELECT pos, raw AS qr FROM clean_a WHERE row_idx = (SELECT min(row_idx) FROM ok_a)),
+kept0 AS (SELECT m.* FROM clean_a m JOIN q USING (pos) WHERE qr <> '-'),
+wide AS (SELECT count(*) AS l FROM q WHERE qr <> '-'),
 okrow AS (SELECT row_idx FROM kept0, wide GROUP BY row_idx, l HAVING count(*) FILTER (code = 0) / l <= 0.3),
 kept AS (SELECT * FROM kept0 WHERE row_idx IN (SELECT row_idx FROM okrow)),
 mask AS (SELECT pos FROM kept GROUP BY pos HAVING avg(CAST(code = 0 AS DOUBLE)) < 0.1),
@@ -52,15 +53,17 @@ def decode_residues(spark, sf_dir):
     return P.alignment(spark, sf_dir).select("row_idx", R.decode(F.col("codes")).alias("seq"))
 
 
-_HEAD = "'sp:' || doc_id || ' OS=' || lang || CASE WHEN doc_id % 3 = 0 THEN '' ELSE ' OX=' || (doc_id % 97) END || CASE WHEN doc_id % 4 = 0 THEN ' GN=g' || doc_id ELSE '' END || ' SV=1'"
+_HEAD = """'sp:' || doc_id || CASE WHEN doc_id % 11 = 0 THEN ' no parts' ELSE ' OS=' || lang || CASE WHEN doc_id % 2 = 0 THEN ' (strain ' || doc_id || ')' ELSE '' END
+ || CASE WHEN doc_id % 3 = 0 THEN '' ELSE ' OX=' || (doc_id % 97) END || CASE WHEN doc_id % 4 = 0 THEN ' GN=g' || doc_id || ' alt' ELSE '' END
+ || CASE WHEN doc_id % 5 = 0 THEN ' PE=3' ELSE '' END || CASE WHEN doc_id % 7 = 0 THEN ' SV=1 and more' WHEN doc_id % 7 = 1 THEN '' ELSE ' SV=1' END END"""
+_PART = lambda part, later: f"nullif(regexp_extract(d, '{part}=(.*?)(\\s({later})=|$)', 1), '')"
 
 
-@query(f"""WITH d AS (SELECT doc_id, {_HEAD} AS d FROM documents) SELECT doc_id, nullif(regexp_extract(d, '{R.DESCRIPTION}', 1), '') AS os,
- TRY_CAST(nullif(regexp_extract(d, '{R.DESCRIPTION}', 2), '') AS INTEGER) AS ox, nullif(regexp_extract(d, '{R.DESCRIPTION}', 3), '') AS gn,
- nullif(regexp_extract(d, '{R.DESCRIPTION}', 5), '') AS sv FROM d""")
+@query(f"""WITH d AS (SELECT doc_id, {_HEAD} AS d FROM documents) SELECT doc_id, {_PART('OS', 'OX|GN|PE|SV')} AS os,
+ TRY_CAST({_PART('OX', 'GN|PE|SV')} AS INTEGER) AS ox, {_PART('GN', 'PE|SV')} AS gn, {_PART('PE', 'SV')} AS pe, {_PART('SV', 'NONE')} AS sv FROM d""")
 def parse_description(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.expr(_HEAD).alias("d"))
-    return docs.select("doc_id", R.describe(F.col("d")).alias("p")).select("doc_id", "p.os", "p.ox", "p.gn", "p.sv")
+    return docs.select("doc_id", R.describe(F.col("d")).alias("p")).select("doc_id", "p.*")
 
 
 @query(f"WITH {MSA} SELECT row_idx FROM msa_a GROUP BY row_idx HAVING max(code) <= 20")
@@ -101,13 +104,15 @@ def best_per_species(spark, sf_dir):
 first AS (SELECT row_idx AS r0, split_part(name, '/', 1) AS n0 FROM ident ORDER BY row_idx LIMIT 1),
 taxon AS (SELECT ox AS o0 FROM ident, first WHERE row_idx > r0 AND contains(name, n0) ORDER BY row_idx LIMIT 1),
 para AS (SELECT row_idx AS p FROM ident, taxon WHERE ox = o0 AND query_identity < 0.9),
-near AS (SELECT s.row_idx, k.row_idx AS p, count(*) FILTER (s.code = k.code) / count(*) AS i FROM kept s JOIN kept k USING (pos)
+near AS (SELECT s.row_idx, k.row_idx AS p, (count(*) FILTER (s.code = k.code AND pos IN (SELECT pos FROM mask))
+  + (SELECT l FROM wide) - (SELECT count(*) FROM mask)) / (SELECT l FROM wide) AS i FROM kept s JOIN kept k USING (pos)
   WHERE s.row_idx IN (SELECT row_idx FROM best) AND k.row_idx IN (SELECT p FROM para) GROUP BY 1, 2),
 good AS (SELECT b.row_idx FROM best b JOIN (SELECT row_idx, max(i) AS m FROM near GROUP BY 1) USING (row_idx) WHERE m < query_identity + 0.02
   UNION SELECT r0 FROM first)
 SELECT row_idx FROM ident WHERE row_idx IN (SELECT row_idx FROM good) OR NOT EXISTS (SELECT 1 FROM para)""")
 def reciprocal_hit(spark, sf_dir):
-    return A.reciprocal_hits(gapped(spark, sf_dir)[0]).select("row_idx")
+    rows, mask = gapped(spark, sf_dir)
+    return A.reciprocal_hits(stored(rows, "gapped"), mask=stored(mask, "mask")).select("row_idx")
 
 
 @query("SELECT a.s_suppkey AS pid1, b.s_suppkey AS pid2, a.s_suppkey || '-' || b.s_suppkey AS name FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey")
@@ -143,18 +148,22 @@ def downsample(spark, sf_dir):
 
 
 WEIGHTED = f"""{MSA},
-hits AS (SELECT a.row_idx AS i, b.row_idx AS k FROM clean_a a JOIN clean_a b ON a.pos = b.pos AND a.code = b.code GROUP BY 1, 2 HAVING 10 * count(*) >= 8 * 48),
-wt AS (SELECT i AS row_idx, count(*) AS n, 1.0::DOUBLE / count(*) AS weight FROM hits GROUP BY i),
+hits AS (SELECT a.row_idx AS i FROM used_a a, used_a b WHERE 10 * (48 - hamming(a.seq, b.seq)) >= 8 * 48),
+wt AS MATERIALIZED (SELECT i AS row_idx, count(*) AS n, 1.0::DOUBLE / count(*) AS weight FROM hits GROUP BY i),
 beff AS (SELECT sum(weight) AS b FROM wt)"""
 
 
+def sampled(spark, sf_dir):
+    return stored(A.downsample(stored(P.clean(spark, sf_dir), "clean"), P.SAMPLE), "sampled")
+
+
 def weighted(spark, sf_dir):
-    return A.with_weights(P.clean(spark, sf_dir))
+    return A.with_weights(sampled(spark, sf_dir))
 
 
 @query(f"WITH {WEIGHTED} SELECT row_idx, n, round(weight, 6) AS weight FROM wt")
 def sequence_weights(spark, sf_dir):
-    return A.neighbour_counts(P.clean(spark, sf_dir)).select("row_idx", "n", F.round(1 / F.col("n"), 6).alias("weight"))
+    return A.neighbour_counts(sampled(spark, sf_dir)).select("row_idx", "n", F.round(1 / F.col("n"), 6).alias("weight"))
 
 
 @query(f"WITH {WEIGHTED} SELECT round(sum(weight), 6) AS beff, count(*) AS n_rows FROM wt")
@@ -190,10 +199,9 @@ COV = f"""{FREQ},
 cov AS (SELECT p.i, q.i AS j, p.a, q.a AS b, coalesce(fij.f, 0) - p.f * q.f AS v FROM fi p JOIN fi q ON p.i <> q.i LEFT JOIN fij ON fij.i = p.i AND fij.j = q.i AND fij.a = p.a AND fij.b = q.a)"""
 
 
-@query(f"""WITH {COV} SELECT i, j, a, b, round(v - avg(v) OVER (PARTITION BY i, j, a) - avg(v) OVER (PARTITION BY i, j, b) + avg(v) OVER (PARTITION BY i, j), 6) + 0 AS v FROM cov WHERE i <= 6 AND j <= 6""")
+@query(f"""WITH {COV} SELECT i, j, a, b, round(v - avg(v) OVER (PARTITION BY i, j, a) - avg(v) OVER (PARTITION BY i, j, b) + avg(v) OVER (PARTITION BY i, j), 6) + 0 AS v FROM cov""")
 def zero_sum_gauge(spark, sf_dir):
-    rows = weighted(spark, sf_dir).withColumn("codes", F.slice("codes", 1, 6))
-    return C.zero_sum_gauge(C.covariance(rows)).select("i", "j", "a", "b", (F.round("v", 6) + 0).alias("v"))
+    return C.zero_sum_gauge(C.covariance(weighted(spark, sf_dir))).select("i", "j", "a", "b", (F.round("v", 6) + 0).alias("v"))
 
 
 APC = f"""{COV},
@@ -320,11 +328,11 @@ def classify_pairs(spark, sf_dir):
 
 
 def plain_scores(spark, sf_dir):
-    got = C.product_correction(C.frobenius(C.covariance(P.clean(spark, sf_dir).withColumn("weight", F.lit(1.0)))))
+    got = C.product_correction(C.frobenius(C.covariance(sampled(spark, sf_dir).withColumn("weight", F.lit(1.0)))))
     return got.select("pos1", "pos2", F.round("score", 6).alias("score"))
 
 
-PLAIN = f"""uw AS (SELECT row_idx, 1.0::DOUBLE AS weight FROM ok_a), ub AS (SELECT sum(weight) AS b FROM uw),
+PLAIN = f"""uw AS (SELECT row_idx, 1.0::DOUBLE AS weight FROM used_a), ub AS (SELECT sum(weight) AS b FROM uw),
 ul AS (SELECT row_idx, pos AS i, code AS a, weight FROM clean_a JOIN uw USING (row_idx)),
 ui AS (SELECT i, a, sum(weight) / any_value(b) AS f FROM ul, ub GROUP BY i, a),
 uij AS (SELECT x.i, y.i AS j, x.a, y.a AS b, sum(x.weight) / any_value(ub.b) AS f FROM ul x JOIN ul y ON x.row_idx = y.row_idx AND x.i <> y.i, ub GROUP BY 1, 2, 3, 4),
@@ -394,9 +402,9 @@ def zombie_repair(spark, sf_dir):
     return jobs.repair(P.running(spark, sf_dir), alive).select("id", "status")
 
 
-@query(f"WITH {JOBS} SELECT count(*) AS n_left FROM jobs WHERE status NOT IN (0, 4) AND id BETWEEN 1 AND 5000")
+@query(f"WITH {JOBS} SELECT count(*) AS n_left FROM jobs WHERE status NOT IN (0, 4)")
 def stage_complete(spark, sf_dir):
-    return jobs.workable(P.jobs(spark, sf_dir).where("id BETWEEN 1 AND 5000")).agg(F.count("*").alias("n_left"))
+    return jobs.workable(P.jobs(spark, sf_dir)).agg(F.count("*").alias("n_left"))
 
 
 @query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey >= (SELECT CAST(floor(count(*) * 0.25) AS BIGINT) + 1 FROM orders) AND o_orderkey < (SELECT CAST(floor(count(*) * 0.75) AS BIGINT) + 1 FROM orders)")
