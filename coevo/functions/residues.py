@@ -16,7 +16,17 @@ PARTS = ("OS", "OX", "GN", "PE", "SV")
 def encode(seq: Column) -> Column:
     """array<int> of residue codes; a dot is a gap."""
     signs = F.split(F.translate(seq, ".", "-"), "")
-    return F.transform(signs, lambda c: F.when(F.call_function("instr", F.lit(ALPHABET), c) == 0, F.lit(INVALID)).otherwise(F.call_function("instr", F.lit(ALPHABET), c) - 21))
+    codes = F.array(*[F.lit(k) for k in (INVALID, *range(-20, 21))])
+    return F.transform(signs, lambda c: F.get(codes, F.call_function("instr", F.lit(ALPHABET), c)))
+
+
+def invalid(seq: Column) -> Column:
+    """Whether a string has a sign that is no residue and no gap."""
+    return seq.rlike(f"[^{ALPHABET.replace('-', '')}.-]")
+
+
+def gap_signs(seq: Column) -> Column:
+    return F.length(seq) - F.length(F.translate(seq, "-.", ""))
 
 
 def decode(codes: Column) -> Column:

@@ -11,15 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.residues import INVALID, gaps, half_even, matches
+from ..functions.residues import INVALID, gap_signs, gaps, half_even, invalid, matches
 from ..sources.shared import stored
 
 BLOCK = 1024
 
 
 def drop_invalid(rows: DataFrame) -> DataFrame:
-    """Rows without any invalid code; lower case is valid."""
-    return rows.where(F.array_max("codes") < INVALID)
+    """Rows without any invalid code; lower case is valid. Read from ``seq`` where the rows have it, before any code is made."""
+    return rows.where(~invalid(F.col("seq")) if "seq" in rows.columns else F.array_max("codes") < INVALID)
 
 
 def query_row(rows: DataFrame) -> DataFrame:
@@ -41,7 +41,8 @@ def keep_query_columns(rows: DataFrame) -> DataFrame:
 
 def drop_gapped(rows: DataFrame, most: float) -> DataFrame:
     """Rows whose gap share is at most ``most`` (inclusive)."""
-    return rows.where(gaps(F.col("codes")) / F.size("codes") <= most)
+    share = gap_signs(F.col("seq")) / F.length("seq") if "seq" in rows.columns else gaps(F.col("codes")) / F.size("codes")
+    return rows.where(share <= most)
 
 
 def column_gaps(rows: DataFrame) -> DataFrame:

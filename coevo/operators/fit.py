@@ -15,26 +15,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def objective(codes: np.ndarray, weights: np.ndarray, site: int, q: int, lambda_h: float, lambda_j: float) -> Callable:
-    """x -> (value, gradient) for one site; x is h then J, flat."""
-    if codes.min() < 0 or codes.max() >= q:
-        raise ValueError("codes must be from 0 to q - 1")
-    b, n = codes.shape
+class Codes:
+    """An alignment's codes as one-hot rows, in parts of bounded size. The parts are kept if they all fit in ``most_bytes``;
+    else each is made when it is needed, so that memory does not grow with rows times columns times states."""
+
+    def __init__(self, codes: np.ndarray, q: int, most_bytes: int = 256 << 20):
+        if codes.min() < 0 or codes.max() >= q:
+            raise ValueError("codes must be from 0 to q - 1")
+        self.codes, self.q = codes.astype(np.int8), q
+        row = codes.shape[1] * q * 8
+        self.step = max(1, min(len(codes), most_bytes // 4 // row))
+        self.held = [self._part(a) for a in range(0, len(codes), self.step)] if len(codes) * row <= most_bytes else None
+
+    def _part(self, first: int) -> np.ndarray:
+        part = self.codes[first:first + self.step]
+        one = np.zeros((*part.shape, self.q))
+        np.put_along_axis(one, part[:, :, None].astype(np.int64), 1.0, axis=2)
+        return one.reshape(len(part), -1)
+
+    def parts(self):
+        """(first row, one-hot rows)."""
+        for k, first in enumerate(range(0, len(self.codes), self.step)):
+            yield first, self.held[k] if self.held else self._part(first)
+
+
+def objective(codes: np.ndarray | Codes, weights: np.ndarray, site: int, q: int, lambda_h: float, lambda_j: float) -> Callable:
+    """x -> (value, gradient) for one site; x is h then J, flat. J of the site itself stays zero."""
+    codes = codes if isinstance(codes, Codes) else Codes(codes, q)
+    n = codes.codes.shape[1]
     w = weights / weights.sum()
-    one = np.zeros((b, n, q))
-    np.put_along_axis(one, codes[:, :, None].astype(np.int64), 1.0, axis=2)
-    own = one[:, site, :].copy()
-    one[:, site, :] = 0
-    flat = one.reshape(b, n * q)
+    own = codes.codes[:, site].astype(np.int64)
+    mine = slice(site * q, site * q + q)
 
     def value(x: np.ndarray) -> tuple[float, np.ndarray]:
         h, j = x[:q], x[q:].reshape(n * q, q)
-        energy = flat @ j + h
-        top = energy.max(1, keepdims=True)
-        log_z = top[:, 0] + np.log(np.exp(energy - top).sum(1))
-        residual = w[:, None] * (own - np.exp(energy - log_z[:, None]))
-        f = -(w * ((energy * own).sum(1) - log_z)).sum() + lambda_h * (h @ h) + lambda_j / 2 * (j * j).sum()
-        return float(f), np.concatenate([2 * lambda_h * h - residual.sum(0), (lambda_j * j - flat.T @ residual).ravel()])
+        f, dh, dj = 0.0, 2 * lambda_h * h, lambda_j * j
+        if j[mine].any():
+            raise ValueError("a site has no couplings with itself")
+        for first, one in codes.parts():
+            k = np.arange(len(one))
+            s, v = own[first:first + len(one)], w[first:first + len(one)]
+            energy = one @ j + h
+            top = energy.max(1, keepdims=True)
+            log_z = top[:, 0] + np.log(np.exp(energy - top).sum(1))
+            f -= (v * (energy[k, s] - log_z)).sum()
+            residual = -v[:, None] * np.exp(energy - log_z[:, None])
+            residual[k, s] += v
+            dh = dh - residual.sum(0)
+            dj -= one.T @ residual
+        dj[mine] = 0
+        return float(f + lambda_h * (h @ h) + lambda_j / 2 * (j * j).sum()), np.concatenate([dh, dj.ravel()])
 
     return value
 
@@ -105,9 +135,10 @@ def nadam(value: Callable, x: np.ndarray, most: int = 200, tolerance: float = 1e
 OPTIMIZERS = {"lbfgs": lbfgs, "rmsprop": rmsprop, "nadam": nadam}
 
 
-def fit_site(codes: np.ndarray, weights: np.ndarray, site: int, q: int = 21, lambda_h: float = 0.01, lambda_j: float = 0.01, most: int = 200, tolerance: float = 3e-4, optimizer: str = "lbfgs") -> tuple[np.ndarray, bool]:
+def fit_site(codes: np.ndarray | Codes, weights: np.ndarray, site: int, q: int = 21, lambda_h: float = 0.01, lambda_j: float = 0.01, most: int = 200, tolerance: float = 3e-4, optimizer: str = "lbfgs") -> tuple[np.ndarray, bool]:
     """(J of the site as (N, q, q), converged)."""
-    n = codes.shape[1]
+    codes = codes if isinstance(codes, Codes) else Codes(codes, q)
+    n = codes.codes.shape[1]
     x, good = OPTIMIZERS[optimizer](objective(codes, weights, site, q, lambda_h, lambda_j), np.zeros(q + n * q * q), most, tolerance)
     return x[q:].reshape(n, q, q), good
 
@@ -141,9 +172,9 @@ def fit_sites(rows: DataFrame, blocks: int = 8, q: int = 21, lambda_h: float = 0
     dealt = rows.select("pair", "codes", "weight", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        codes, weights, block = np.stack(pdf.codes.to_numpy()), pdf.weight.to_numpy(), int(pdf.block.iloc[0])
+        codes, weights, block = Codes(np.stack(pdf.codes.to_numpy()), q), pdf.weight.to_numpy(), int(pdf.block.iloc[0])
         out = []
-        for site in range(block, codes.shape[1], blocks):
+        for site in range(block, codes.codes.shape[1], blocks):
             j, good = fit_site(codes, weights, site, q, lambda_h, lambda_j, most, tolerance, optimizer)
             out += [(pdf.pair.iloc[0], site, i, x.tobytes(), good) for i, x in enumerate(gauge(j))]
         return pd.DataFrame(out, columns=["pair", "site", "i", "j", "converged"])

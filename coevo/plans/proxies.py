@@ -22,9 +22,9 @@ SAMPLE = 30_000
 def sequences(spark: SparkSession, sf_dir: str, which: str = "a") -> DataFrame:
     width, times, species = SHAPE[which]
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.translate(F.coalesce("text", F.lit("")), SRC, DST).alias("t"))
-    last = F.greatest(F.ceil(F.length("t") / width) - 1, F.lit(0))
-    rows = docs.select("doc_id", "t", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("k"))
-    rows = rows.select("doc_id", (F.col("doc_id") * STEP + F.col("k")).alias("row_idx"), F.rpad(F.substr("t", (F.col("k") * width + 1).cast("int"), F.lit(width)), width, "-").alias("seq"))
+    pieces = F.regexp_extract_all("t", F.lit(f"(?s).{{1,{width}}}"), F.lit(0))  # one walk over the text
+    rows = docs.select("doc_id", F.posexplode_outer(pieces).alias("k", "piece"))
+    rows = rows.select("doc_id", (F.col("doc_id") * STEP + F.coalesce("k", F.lit(0))).alias("row_idx"), F.rpad(F.coalesce("piece", F.lit("")), width, "-").alias("seq"))
     name = F.concat(F.lit("prot"), (F.col("doc_id") % 7).cast("string"), F.lit("/"), F.col("row_idx").cast("string"))
     return rows.select("row_idx", name.alias("name"), (F.col("doc_id") * times % species).alias("ox"), "seq")
 

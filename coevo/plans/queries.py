@@ -33,14 +33,14 @@ kept0 AS (SELECT m.* FROM clean_a m JOIN q USING (pos) WHERE qr <> '-'),
 wide AS (SELECT count(*) AS l FROM q WHERE qr <> '-'),
 okrow AS (SELECT row_idx FROM kept0, wide GROUP BY row_idx, l HAVING count(*) FILTER (code = 0) / l <= 0.3),
 kept AS (SELECT * FROM kept0 WHERE row_idx IN (SELECT row_idx FROM okrow)),
-mask AS (SELECT pos FROM kept GROUP BY pos HAVING avg(CAST(code = 0 AS DOUBLE)) < 0.1),
+mask AS (SELECT pos FROM kept GROUP BY pos HAVING avg(CAST(code = 0 AS DOUBLE)) < 0.18),
 qq AS (SELECT pos, code AS qc FROM kept WHERE row_idx = (SELECT min(row_idx) FROM kept)),
 ident AS (SELECT row_idx, ox, name, round_even((count(*) FILTER (code = qc AND pos IN (SELECT pos FROM mask)) + any_value(l)
   - (SELECT count(*) FROM mask)) / any_value(l), 3) AS query_identity FROM kept JOIN qq USING (pos), wide GROUP BY row_idx, ox, name)"""
 
 
 def gapped(spark, sf_dir):
-    return A.gap_filter(P.clean(spark, sf_dir), 0.3, 0.1)
+    return A.gap_filter(stored(P.clean(spark, sf_dir), "clean"), 0.3, 0.18)
 
 
 @query(f"WITH {MSA} SELECT row_idx, pos, code FROM msa_a")
@@ -76,10 +76,10 @@ def filter_row_gap(spark, sf_dir):
     return A.drop_gapped(P.alignment(spark, sf_dir), 0.25).select("row_idx", R.gaps(F.col("codes")).cast("long").alias("n_gaps"))
 
 
-@query(f"WITH {MSA} SELECT pos - 1 AS pos, round(avg(CAST(code = 0 AS DOUBLE)), 6) AS gap_ratio FROM clean_a GROUP BY pos HAVING avg(CAST(code = 0 AS DOUBLE)) < 0.2")
+@query(f"WITH {MSA} SELECT pos - 1 AS pos, round(avg(CAST(code = 0 AS DOUBLE)), 6) AS gap_ratio FROM clean_a GROUP BY pos HAVING avg(CAST(code = 0 AS DOUBLE)) < 0.18")
 def column_gap_mask(spark, sf_dir):
     rows = P.clean(spark, sf_dir)
-    return A.column_mask(rows, 0.2).join(A.column_gaps(rows), "pos").select("pos", F.round("gap_ratio", 6).alias("gap_ratio"))
+    return A.column_mask(rows, 0.18).join(A.column_gaps(rows), "pos").select("pos", F.round("gap_ratio", 6).alias("gap_ratio"))
 
 
 @query(f"WITH {GAPPED} SELECT row_idx, string_agg(substr('{R.ALPHABET}', code + 21, 1), '' ORDER BY pos) AS seq FROM kept0 GROUP BY row_idx")
@@ -132,7 +132,7 @@ t{x} AS (SELECT row_idx, string_agg(substr('{R.ALPHABET}', code + 21, 1), '' ORD
 SELECT sa.ox, x.seq || y.seq AS seq FROM sa JOIN sb USING (ox) JOIN ta x ON x.row_idx = sa.row_idx JOIN tb y ON y.row_idx = sb.row_idx
 UNION ALL SELECT NULL, x.seq || y.seq FROM ta x, tb y WHERE x.row_idx = (SELECT r FROM qa) AND y.row_idx = (SELECT r FROM qb)""")
 def pair_species(spark, sf_dir):
-    a, b = (A.query_identity(P.clean(spark, sf_dir, x)) for x in "ab")
+    a, b = (stored(A.query_identity(stored(P.clean(spark, sf_dir, x), "clean")), "identity") for x in "ab")
     return A.pair_species(a, b).select("ox", R.decode(F.col("codes")).alias("seq"))
 
 
@@ -232,9 +232,9 @@ def coupling_topk(spark, sf_dir):
     return C.top_k(scored(spark, sf_dir), 25)
 
 
-@query(f"WITH {APC} SELECT pos1, pos2, score FROM apc WHERE score >= 0.001 AND abs(pos1 - pos2) >= 5")
+@query(f"WITH {APC} SELECT pos1, pos2, score FROM apc WHERE score >= -0.001 AND abs(pos1 - pos2) >= 5")
 def coupling_positives(spark, sf_dir):
-    return C.positives(scored(spark, sf_dir), 0.001, 5)
+    return C.positives(scored(spark, sf_dir), -0.001, 5)
 
 
 _INTER = "inter AS (SELECT pos1, pos2 - 24 AS pos2, score FROM apc WHERE pos1 <= 24 AND pos2 > 24)"
@@ -250,10 +250,10 @@ def switch_order(spark, sf_dir):
     return C.switch_order(interchain_block(spark, sf_dir))
 
 
-@query(f"""WITH {APC}, {_INTER}, m AS (SELECT pos - 1 AS pos FROM clean_a GROUP BY pos HAVING avg(CAST(code = 0 AS DOUBLE)) < 0.15)
+@query(f"""WITH {APC}, {_INTER}, m AS (SELECT pos - 1 AS pos FROM clean_a GROUP BY pos HAVING avg(CAST(code = 0 AS DOUBLE)) < 0.18)
 SELECT pos1, pos2, score FROM inter WHERE pos1 IN (SELECT pos + 1 FROM m WHERE pos < 24) AND pos2 IN (SELECT pos - 24 + 1 FROM m WHERE pos >= 24)""")
 def saved_column_filter(spark, sf_dir):
-    mask = A.block_columns(A.column_mask(P.clean(spark, sf_dir), 0.15), [24, 24])
+    mask = A.block_columns(A.column_mask(P.clean(spark, sf_dir), 0.18), [24, 24], 48)
     side = lambda k: mask.where(F.col("block") == k).select(F.col("local_pos").alias("pos"))
     return C.saved_only(interchain_block(spark, sf_dir), side(0), side(1)).select("pos1", "pos2", "score")
 
@@ -302,9 +302,9 @@ def surface_residues(spark, sf_dir):
 HELD = f"{APC}, {_INTER}, {FACE}, joined AS (SELECT i.*, f.dist FROM inter i LEFT JOIN face f ON f.res_a = pos1 AND f.res_b = pos2)"
 
 
-@query(f"WITH {HELD} SELECT count(*) AS n, count(*) FILTER (dist < 8.0) AS n_tp FROM joined WHERE score >= 0")
+@query(f"WITH {HELD} SELECT count(*) AS n, count(*) FILTER (dist < 8.0) AS n_tp FROM joined WHERE score >= -0.003")
 def true_positive_count(spark, sf_dir):
-    return interface.true_positives(C.positives(interchain_block(spark, sf_dir), 0.0), face(spark, sf_dir), P.CUTOFF)
+    return interface.true_positives(C.positives(interchain_block(spark, sf_dir), -0.003), face(spark, sf_dir), P.CUTOFF)
 
 
 @query(f"WITH {HELD} SELECT count(*) FILTER (dist < 8.0) AS n_tp, count(*) FILTER (dist < 8.0) / 30 AS tpr FROM (SELECT * FROM joined ORDER BY score DESC, pos1, pos2 LIMIT 30)")
@@ -312,19 +312,19 @@ def topk_tpr(spark, sf_dir):
     return interface.top_k_rate(C.top_k(interchain_block(spark, sf_dir), 30), face(spark, sf_dir), 30, P.CUTOFF)
 
 
-@query(f"""WITH {HELD}, c AS (SELECT count(*) FILTER (dist < 8.0 AND score >= 0) AS tp_baseline, count(*) FILTER (dist < 8.0 AND score >= 0.0005) AS tp_query, count(*) FILTER (score >= 0.0005) AS nq FROM joined)
+@query(f"""WITH {HELD}, c AS (SELECT count(*) FILTER (dist < 8.0 AND score >= -0.003) AS tp_baseline, count(*) FILTER (dist < 8.0 AND score >= -0.0022) AS tp_query, count(*) FILTER (score >= -0.0022) AS nq FROM joined)
 SELECT tp_baseline, tp_query, tp_query / nullif(tp_baseline, 0) AS tpr_full, coalesce(tp_query / nullif(nq, 0), 0) AS tpr,
  round(pow(coalesce(tp_query / nullif(nq, 0), 0), 0.8) * pow(tp_query / nullif(tp_baseline, 0), 0.2), 6) AS bi FROM c""")
 def benchmark_index(spark, sf_dir):
-    s = interchain_block(spark, sf_dir)
-    got = interface.benchmark_index(C.positives(s, 0.0005), C.positives(s, 0.0), face(spark, sf_dir), P.CUTOFF)
+    s = stored(interchain_block(spark, sf_dir), "block")
+    got = interface.benchmark_index(C.positives(s, -0.0022), C.positives(s, -0.003), face(spark, sf_dir), P.CUTOFF)
     return got.withColumn("bi", F.round("bi", 6))
 
 
-@query(f"""WITH {HELD} SELECT pos1, pos2, score, coalesce(dist, 50.0) AS dist, CASE WHEN score > 0 AND coalesce(dist, 50.0) > 8.0 THEN 'FP'
- WHEN score > 0 AND coalesce(dist, 50.0) < 8.0 THEN 'TP' ELSE 'negative' END AS kind FROM joined""")
+@query(f"""WITH {HELD} SELECT pos1, pos2, score, coalesce(dist, 50.0) AS dist, CASE WHEN score > -0.0025 AND coalesce(dist, 50.0) > 8.0 THEN 'FP'
+ WHEN score > -0.0025 AND coalesce(dist, 50.0) < 8.0 THEN 'TP' ELSE 'negative' END AS kind FROM joined""")
 def classify_pairs(spark, sf_dir):
-    return interface.classify(interchain_block(spark, sf_dir), face(spark, sf_dir), 0.0, P.CUTOFF)
+    return interface.classify(interchain_block(spark, sf_dir), face(spark, sf_dir), -0.0025, P.CUTOFF)
 
 
 def plain_scores(spark, sf_dir):
@@ -386,20 +386,20 @@ def claim_batch(spark, sf_dir):
 RUN = "run AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE 1 END AS status, 'job' || (o_custkey % 10) AS job_id FROM orders WHERE o_orderstatus = 'F')"
 
 
-@query(f"WITH {RUN} SELECT id, 0 AS status FROM run")
+@query(f"WITH {RUN} SELECT id, 0 AS status, NULL AS job_id, NULL::DOUBLE AS claimed_at FROM run")
 def apply_success(spark, sf_dir):
-    return jobs.succeeded(P.running(spark, sf_dir)).select("id", "status")
+    return jobs.succeeded(P.running(spark, sf_dir)).select("id", "status", "job_id", "claimed_at")
 
 
-@query(f"WITH {RUN} SELECT id, least(status + 1, 4) AS status FROM run")
+@query(f"WITH {RUN} SELECT id, least(status + 1, 4) AS status, NULL AS job_id, NULL::DOUBLE AS claimed_at FROM run")
 def apply_failure(spark, sf_dir):
-    return jobs.failed(P.running(spark, sf_dir)).select("id", "status")
+    return jobs.failed(P.running(spark, sf_dir)).select("id", "status", "job_id", "claimed_at")
 
 
-@query(f"WITH {RUN} SELECT id, CASE WHEN status = 3 THEN 2 ELSE -1 END AS status FROM run WHERE job_id NOT IN ('job1', 'job2', 'job3')")
+@query(f"WITH {RUN} SELECT id, CASE WHEN status = 3 THEN 2 ELSE -1 END AS status, NULL AS job_id, NULL::DOUBLE AS claimed_at FROM run WHERE job_id NOT IN ('job1', 'job2', 'job3')")
 def zombie_repair(spark, sf_dir):
     alive = spark.createDataFrame([("job1",), ("job2",), ("job3",)], "job_id string")
-    return jobs.repair(P.running(spark, sf_dir), alive).select("id", "status")
+    return jobs.repair(P.running(spark, sf_dir), alive).select("id", "status", "job_id", "claimed_at")
 
 
 @query(f"WITH {JOBS} SELECT count(*) AS n_left FROM jobs WHERE status NOT IN (0, 4)")
@@ -414,9 +414,9 @@ def id_range(spark, sf_dir):
     return rows.where((F.col("id") >= first) & (F.col("id") < after)).select("id")
 
 
-@query("SELECT c_custkey AS pid FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey AS pid FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def insert_if_absent(spark, sf_dir):
-    have = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_custkey").alias("pid"))
+    have = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("pid"))
     return jobs.insert_absent(have, spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("pid")), "pid")
 
 
@@ -457,4 +457,4 @@ def give_up(spark, sf_dir):
 def fit_sites(spark, sf_dir):
     """Scores of all columns by fitted pseudo-likelihood."""
     rows = weighted(spark, sf_dir).select(F.lit("a").alias("pair"), "codes", "weight")
-    return fit.scores_of(fit.fit_sites(rows, blocks=6)).select("pos1", "pos2", F.round("score", 5).alias("score"))
+    return fit.scores_of(fit.fit_sites(rows, blocks=8)).select("pos1", "pos2", F.round("score", 5).alias("score"))
