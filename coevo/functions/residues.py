@@ -75,3 +75,13 @@ def state_name(status: Column) -> Column:
 
 def quote_identifier(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def search_threshold(length: Column, per_residue: float) -> Column:
+    """The score that a homologue search takes as its threshold, as text."""
+    return (length * F.lit(per_residue)).cast("string")
+
+
+def option(options: Column, key: str, default: float) -> Column:
+    """A number of a map of options, or the default."""
+    return F.coalesce(F.element_at(options, F.lit(key)), F.lit(default))

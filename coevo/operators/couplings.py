@@ -181,3 +181,26 @@ def normalised(scores: DataFrame, neff: float, length: int) -> DataFrame:
 
 def raw_sum(scores: DataFrame) -> DataFrame:
     return scores.agg(F.sum(F.nanvl(F.col("score").cast("double"), F.lit(0.0))).alias("total"))
+
+
+def positions(scores: DataFrame) -> DataFrame:
+    """(pos): every label of a row or a column, once."""
+    return scores.select(F.col("pos1").alias("pos")).union(scores.select(F.col("pos2").alias("pos"))).distinct()
+
+
+def row_breaks(scores: DataFrame) -> DataFrame:
+    """(pos1, pos2) of each row's first column, where the columns begin anew."""
+    return scores.groupBy("pos1").agg(F.min("pos2").alias("pos2"))
+
+
+def by_position(scores: DataFrame) -> DataFrame:
+    return scores.orderBy("pos1", "pos2")
+
+
+def half_precision(x):
+    """x rounded to the nearest number of 11 binary digits, ties to even, as half-precision storage does: below 2^-14 to
+    multiples of 2^-24, above 65504 without end."""
+    exponent = F.greatest(F.floor(F.log2(F.abs(x))), F.lit(-14)) - 10
+    step = F.pow(F.lit(2.0), exponent)
+    near = F.rint(x / step) * step
+    return F.when(x == 0, F.lit(0.0)).when(F.abs(near) > 65504.0, F.signum(x) * F.lit(float("inf"))).otherwise(near)

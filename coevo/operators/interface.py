@@ -62,3 +62,27 @@ def benchmark_index(query: DataFrame, baseline: DataFrame, interface: DataFrame,
 def top_k_rate(top: DataFrame, interface: DataFrame, k: int, cutoff: float) -> DataFrame:
     """One row (n_tp, tpr); the rate divides by k even if there are fewer pairs."""
     return true_positives(top, interface, cutoff).select("n_tp", (F.col("n_tp") / k).alias("tpr"))
+
+
+def monomer_classify(scores: DataFrame, interface: DataFrame, threshold: float, cutoff: float, separation: int = 0) -> DataFrame:
+    """As ``classify`` within one chain: only pairs far enough apart in the sequence; a pair on the interface that is neither
+    TP nor FP goes, and one off the interface is negative."""
+    far = scores.where(F.abs(F.col("pos1") - F.col("pos2")) >= separation)
+    d = with_distance(far, interface, None)
+    above = F.col("score") > threshold
+    kind = F.when(F.col("dist").isNull(), "negative").when(above & (F.col("dist") > cutoff), "FP").when(above & (F.col("dist") < cutoff), "TP")
+    return d.withColumn("kind", kind).where("kind IS NOT NULL").withColumn("dist", F.coalesce("dist", F.lit(FAR)))
+
+
+def monomer_index(query: DataFrame, baseline: DataFrame, interface: DataFrame, cutoff: float) -> DataFrame:
+    """One row: tp_baseline, tp_query, tpr_full, tpr, bi, and rho, the rank correlation of the two score sets."""
+    from .couplings import spearman
+
+    return benchmark_index(query, baseline, interface, cutoff).crossJoin(spearman(query, baseline).select("rho"))
+
+
+def require_hits(index: DataFrame) -> DataFrame:
+    """The row of a benchmark index; an error where the query has no true positive."""
+    if not index.first().tp_query:
+        raise ValueError("the query has no true positive")
+    return index

@@ -54,10 +54,69 @@ def is_complete(jobs: DataFrame) -> bool:
     return workable(jobs).isEmpty()
 
 
-def sync_states(jobs: DataFrame, seen: DataFrame) -> DataFrame:
-    """Rows of jobs whose scheduler state (job_id, state) differs from the known one."""
-    state = F.regexp_replace(F.element_at(F.split(F.trim("state"), " "), 1), r"\+$", "")
-    return jobs.join(seen.select("job_id", state.alias("_s")), "job_id").where(~F.col("status").eqNullSafe(F.col("_s"))).withColumn("status", F.col("_s")).drop("_s")
+def scheduler_state(column: str = "state"):
+    """The first word of a scheduler's state, without the sign that marks it as cut."""
+    return F.regexp_replace(F.element_at(F.split(F.trim(F.col(column)), " "), 1), r"\+$", "")
+
+
+def submitted_id(output: str = "output"):
+    """The job number in a scheduler's answer: its last word, if that is digits, else null."""
+    last = F.element_at(F.split(F.regexp_replace(F.col(output), r"\s+$", ""), r"\s+"), -1)
+    return F.when(last.rlike("^[0-9]+$"), last)
+
+
+def sync_states(runs: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows of runs (job_id, status) whose scheduler state (job_id, state) differs from the known one, with the new one."""
+    return runs.join(seen.select("job_id", scheduler_state().alias("_s")), "job_id").where(~F.col("status").eqNullSafe(F.col("_s"))).withColumn("status", F.col("_s")).drop("_s")
+
+
+#: Scheduler states of runs that may still work, and of those that ended well.
+ALIVE, WELL = ("PENDING", "RUNNING", "CONFIGURING", "COMPLETING", "SUSPENDED"), ("COMPLETED",)
+
+
+def sync_tasks(tasks: DataFrame, runs: DataFrame, seen: DataFrame) -> DataFrame:
+    """The tasks to write back after a look at the scheduler: those that a run owned which has just ended badly and which
+    are not done, as after a failure."""
+    bad = sync_states(runs, seen).where(~F.col("status").isin(*ALIVE, *WELL)).select("job_id").distinct()
+    owned = tasks.where("status IN (1, 3)").join(bad, "job_id", "left_semi")
+    return failed(owned).select(*tasks.columns)
+
+
+def done(jobs: DataFrame) -> DataFrame:
+    return jobs.where("status = 0")
+
+
+def counts(jobs: DataFrame) -> DataFrame:
+    """One row (n, max_id, n_done); the largest id of an empty table is 0."""
+    return jobs.agg(F.count("*").alias("n"), F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("max_id"), F.count_if(F.col("status") == 0).alias("n_done"))
+
+
+def with_lengths(pairs: DataFrame, alignments: DataFrame) -> DataFrame:
+    """pairs (pid1, pid2) with length1, length2 and length, their sum, from alignments (pid, length); null where unknown."""
+    side = lambda k: alignments.select(F.col("pid").alias(f"pid{k}"), F.col("length").alias(f"length{k}"))
+    both = pairs.join(side(1), "pid1", "left").join(side(2), "pid2", "left")
+    return both.withColumn("length", F.col("length1") + F.col("length2"))
+
+
+def ensure_columns(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """rows with the missing ones of the named columns (name to type) added as nulls."""
+    return rows.select("*", *[F.lit(None).cast(t).alias(c) for c, t in columns.items() if c not in rows.columns])
+
+
+def runs_to_submit(active: int, maximum: int, left: int) -> int:
+    """How many runs to submit anew: up to the maximum, none without work."""
+    return max(0, min(maximum - active, left))
+
+
+def cron_lines(table: str, command: str, schedule: str | None) -> str:
+    """A cron table in which the command stands once, with that schedule, or not at all if it is None."""
+    lines = [x for x in table.splitlines() if x.strip() and not x.endswith(f" {command}")]
+    return "".join(f"{x}\n" for x in lines + ([f"{schedule} {command}"] if schedule else []))
+
+
+def priorities(pairs: DataFrame) -> DataFrame:
+    """pairs (id) with a priority that falls with the id, so that earlier pairs end first."""
+    return pairs.withColumn("priority", -F.col("id"))
 
 
 def insert_absent(have: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -30,7 +30,7 @@ def test_codes_round_trip(spark, tmp_path):
     got = {r.row_idx: (list(r.codes), r.s) for r in df.select("*", R.decode(F.col("codes")).alias("s")).collect()}
     assert got[0] == ([1, 2, 0, 0, -1, 21], "AC--yX")
     writers.alignment(df, str(tmp_path / "aln"))
-    back = {r.row_idx: r for r in spark.read.parquet(str(tmp_path / "aln")).collect()}
+    back = {r.row_idx: r for r in spark.read.parquet(str(tmp_path / "aln" / "rows")).collect()}
     assert back[2].rank_in_species == 1 and back[1].rank_in_species == 2 and back[0].is_query
     writers.fasta(df, str(tmp_path / "text"))
     again = readers.fasta(spark, str(tmp_path / "text"))
