@@ -251,3 +251,23 @@ def test_stored_tables_are_deleted(spark):
     shared.delete_tables(spark)
     with pytest.raises(Exception):
         df.count()
+
+
+def test_from_files_to_scores(spark, tmp_path):
+    """Two alignments in which one column of the first decides one of the second: that pair scores highest."""
+    from coevo.plans import project
+
+    r = np.random.default_rng(12)
+    letters = np.array(list("ACDE"))
+    a, b = letters[r.integers(0, 4, (120, 6))], letters[r.integers(0, 4, (120, 5))]
+    b[:, 3] = a[:, 1]
+    for name, rows in (("a", a), ("b", b)):
+        lines = [f">{name}{k} x OS=Some one OX={k + 1}\n{''.join(s)}" for k, s in enumerate(rows)]
+        (tmp_path / f"{name}.fasta").write_text("\n".join(lines) + "\n>bad OS=x OX=999\n" + "1" * rows.shape[1] + "\n")
+        assert project.main(["align", str(tmp_path / f"{name}.fasta"), str(tmp_path / name)]) == 0
+    assert readers.stored_alignment(spark, str(tmp_path / "a"))[1] == {"lengths": [6], "saved_columns": list(range(6)), "beff": None}
+    (tmp_path / "o.yml").write_text("couple:\n  reweighting:\n    enabled: false\n")
+    assert project.main(["couple", str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "scores"), "a-b", "--config", str(tmp_path / "o.yml")]) == 0
+    scores = readers.stored_scores(spark, str(tmp_path / "scores"), "a-b")
+    best = C.top_k(C.interchain(scores, 6), 1).first()
+    assert scores.count() == 121 and (best.pos1, best.pos2) == (2, 4)

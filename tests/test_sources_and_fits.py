@@ -62,7 +62,7 @@ def test_other_readers(spark, tmp_path):
     pids = spark.createDataFrame([("P1",), ("P2",)], "pid string")
     assert {r.pid: (r.status, r.seq) for r in readers.fetch_local(pids, str(tmp_path)).collect()} == {"P1": (-1, "ACDE"), "P2": (4, None)}
     (tmp_path / "x.pdb").write_text(f"{'ATOM':<6}{1:>5}  CA  ALA A{5:>4}    {1.5:8.3f}{-2:8.3f}{3:8.3f}\n{'ATOM':<6}{2:>5}  P    DA A{6:>4}    {0:8.3f}{0:8.3f}{0:8.3f}\n")
-    assert [tuple(r) for r in readers.atoms(spark, str(tmp_path / "x.pdb"), "A").collect()] == [("A", 5, "CA", 1.5, -2.0, 3.0)]
+    assert [tuple(r) for r in readers.atoms(spark, str(tmp_path / "x.pdb"), "A").collect()] == [("A", 5, "", "CA", 1.5, -2.0, 3.0)]
     writers.flat_binary(np.array([[1, 2], [0, 20]]), np.array([0.5, 1.0]), str(tmp_path / "bin"))
     assert [(list(r.codes), r.weight) for r in readers.flat_binary(spark, str(tmp_path / "bin")).orderBy("row_idx").collect()] == [([1, 2], 0.5), ([0, 20], 1.0)]
     assert readers.merged_config({"a": {"b": 1, "c": 2}, "d": 3}, {"a": {"b": 5}, "d": {"e": 1}}) == {"a": {"b": 5, "c": 2}, "d": {"e": 1}}
