@@ -6,7 +6,7 @@ Resampling draws without replacement by Gumbel top-k: each document's key is its
 ``temperature`` (1 draws in proportion to the weights) plus Gumbel noise from a hash of its id, and the k largest keys stay.
 
 The raw model counts every n-gram of the whole corpus. The target model counts documents labelled
-as good, at most ``target_rows`` labelled documents chosen by a hash of doc_id; counts of all
+as good, at most ``target_rows`` labelled documents chosen by a hash of doc_id, and is mixed with the raw one by halves; counts of all
 tasks are added up in ``buckets`` numbers, so what reaches the driver and what is broadcast is of
 fixed size. k is ``share`` of the rows, which defaults to the share of good ones among the labelled documents drawn. The
 k-th largest key is found by counting keys in ever finer ranges, never by sorting all keys into one task.
@@ -94,16 +94,17 @@ def fit(docs: DataFrame, labels: DataFrame, target_rows: int = 20_000, buckets:
 
     marked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left").select("text", F.coalesce("_q", F.lit(-1)).alias("_q"))
     counts = marked.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
-    if chosen.agg(F.countDistinct("_q")).first()[0] < 2:
+    if chosen.agg(F.count_distinct("_q")).first()[0] < 2:
         return None
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in counts:
         raw[r.bucket], target[r.bucket] = r.raw, r.target
-    # the raw model is the prior of the target's: a bucket that the sample lacks takes the corpus' rate, thinned
-    prior = 200.0 * buckets / BUCKETS
-    p = raw / max(raw.sum(), 1)
-    q = (target + prior * p + 0.5 / buckets) / (target.sum() + prior + 0.5)
-    return np.log(q) - np.log(np.maximum(p, 1e-300)) if raw.sum() else None
+    if not raw.sum() or not target.sum():
+        return None
+    # half of the target's model is the raw one, so an n-gram that the sample lacks costs log 2 at most
+    p = raw / raw.sum()
+    q = (target / target.sum() + p) / 2
+    return np.log(np.maximum(q, 1e-300)) - np.log(np.maximum(p, 1e-300))
 
 
 def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
