@@ -5,8 +5,6 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
-import tempfile
-import uuid
 from itertools import chain
 
 import numpy as np
@@ -14,7 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN_DIR: dict[str, str] = {}
+from ..functions.residues import quote_identifier as quoted
+from ..sources.shared import delete_tables, shared_dir, stored  # noqa: F401 (used by the operators)
+
 #: What a Python worker keeps between tasks, by the operator that needs it.
 _KEPT: dict[str, list] = {}
 
@@ -23,27 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one only where the session names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIR:
-        _OWN_DIR[app] = tempfile.mkdtemp(prefix="coevo-")
-    return _OWN_DIR[app]
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/coevo-tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def keep(operator: str, held):
     """Register a dict or list that ``operator`` keeps between tasks; returns it."""
     _KEPT.setdefault(operator, []).append(held)
@@ -65,15 +44,15 @@ def enter(operator: str) -> None:
 
 def row_key(text: str = "text"):
     """A hash of the text that tells rows of one doc_id apart; null counts as empty."""
-    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    return F.xxhash64(F.coalesce(F.col(quoted(text)), F.lit("")))
 
 
 def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs without the rows whose doc_id (null like any other) and text are among gone's (doc_id, text_key)."""
-    left = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), row_key().alias("_key"))
+    left = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), row_key().alias("_key"))
     gone = gone.select(F.col("doc_id").alias("_id2"), F.col("text_key").alias("_key2")).distinct()
     left = left.join(gone, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left_anti")
-    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return left.select(*[F.col("row." + quoted(c)).alias(c) for c in docs.columns])
 
 
 class WordTable(dict):
@@ -133,12 +112,12 @@ class WordTable(dict):
         return self.flat[take], size
 
 
-def blocks(texts: list, most: int = 2_000_000):
-    """(first, after) ranges of texts with about ``most`` characters each."""
+def blocks(texts: list, most: int = 2_000_000, rows: int = 100_000):
+    """(first, after) ranges of texts with about ``most`` characters and at most ``rows`` texts each."""
     first, held = 0, 0
     for k, t in enumerate(texts):
         held += len(t)
-        if held >= most:
+        if held >= most or k + 1 - first >= rows:
             yield first, k + 1
             first, held = k + 1, 0
     if first < len(texts):

@@ -6,13 +6,14 @@ those of its windows, taken within words padded by one blank. A language's proto
 the vectors of its training texts. The language is the prototype with the highest cosine.
 
 A text's vector is the product of its window counts with the windows' vectors; windows are counted
-per distinct word once, so a block of texts costs one small matrix product. Prototype sums are whole
-numbers, so they don't depend on how the input is cut. Only languages x dimensions numbers reach
-the driver and are broadcast; more than ``most_languages`` labels is an error.
+per distinct word once, so a block of texts costs one small matrix product; a block has a bounded number of texts. Prototype sums are whole
+numbers, so they don't depend on how the input is cut. Only languages x dimensions numbers, the model itself, reach
+the driver and are broadcast.
 
 Defined results: null text and text without letters give ``und`` and score 0; without any training
-rows every text is ``und``; equal cosines go to the language first in the alphabet; repeated rows get equal answers;
-an empty table gives no rows.
+rows every text is ``und``; equal cosines go to the language first in the alphabet; very long texts are profiled whole;
+a null doc_id is kept (the query counts it as not held out); repeated rows get equal answers;
+an empty table gives no rows; extra columns, whatever their names, are dropped.
 """
 
 from __future__ import annotations
@@ -80,33 +81,46 @@ def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, dimensions: int = DIMENSIONS, most_languages: int = 1000) -> tuple[list[str], np.ndarray]:
-    """(languages in order, one prototype row each) from the rows' text and lang."""
+def fit(docs: DataFrame, dimensions: int = DIMENSIONS, held: int = 1000) -> tuple[list[str], np.ndarray]:
+    """(languages in order, one prototype row each) from the rows' text and lang. A task sums ``held`` languages at a time and
+    passes its sums on when it meets more, so any number of labels gives the same prototypes."""
 
     def add(batches):
         sums: dict[str, np.ndarray] = {}
+
+        def flush():
+            for lang, s in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([s.astype("<i8").tobytes()], pa.binary())], names=["lang", "sums"])
+            sums.clear()
+
         for batch in batches:
-            texts, langs = [t or "" for t in batch.column(0).to_pylist()], np.array(batch.column(1).to_pylist())
-            for a, b in blocks(texts, 200_000):
+            texts, langs = [t or "" for t in batch.column(0).to_pylist()], np.array(batch.column(1).to_pylist(), object)
+            for a, b in blocks(texts, 200_000, 1000):
                 v = text_vectors(texts[a:b], dimensions)
-                for lang in set(langs[a:b].tolist()):
-                    s = v[langs[a:b] == lang].sum(0)
-                    if len(sums) > most_languages:
-                        raise ValueError(f"more than {most_languages} languages")
-                    sums[lang] = sums.get(lang, 0) + s
-        for lang, s in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions), pa.array(range(dimensions), pa.int32()), pa.array(s.astype(np.int64))], names=["lang", "k", "v"])
-
-    rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang").mapInArrow(add, "lang string, k int, v long").groupBy("lang", "k").agg(F.sum("v").alias("v")).collect()
-    langs = sorted({r.lang for r in rows})
-    if len(langs) > most_languages:
-        raise ValueError(f"more than {most_languages} languages")
-    sums = np.zeros((len(langs), dimensions))
-    at = {x: k for k, x in enumerate(langs)}
-    for r in rows:
-        sums[at[r.lang], r.k] = r.v
+                for lang in sorted(set(langs[a:b].tolist())):
+                    if lang not in sums and len(sums) >= held:
+                        yield from flush()
+                    sums[lang] = sums.get(lang, 0) + v[langs[a:b] == lang].sum(0)
+        yield from flush()
+
+    def total(batches):
+        now, sums = None, None
+        for batch in batches:
+            for lang, raw in zip(*[c.to_pylist() for c in batch.columns]):
+                if lang != now:
+                    if now is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([sums.tobytes()], pa.binary())], names=["lang", "sums"])
+                    now, sums = lang, np.zeros(dimensions, "<i8")
+                sums += np.frombuffer(raw, "<i8")
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now]), pa.array([sums.tobytes()], pa.binary())], names=["lang", "sums"])
+
+    parts = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang").mapInArrow(add, "lang string, sums binary")
+    rows = parts.repartition("lang").sortWithinPartitions("lang").mapInArrow(total, "lang string, sums binary").collect()
+    rows = sorted(rows, key=lambda r: r.lang)
+    sums = np.array([np.frombuffer(r.sums, "<i8") for r in rows], float).reshape(-1, dimensions)
     used = sums.any(axis=1)
-    return [x for x, u in zip(langs, used) if u], sums[used]
+    return [r.lang for r, u in zip(rows, used) if u], sums[used]
 
 
 def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFrame:
@@ -119,7 +133,7 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFr
         names, unit = shared.value
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in blocks(texts, 200_000):
+            for a, b in blocks(texts, 200_000, 1000):
                 v = text_vectors(texts[a:b], dimensions)
                 norm = np.linalg.norm(v, axis=1)
                 cos = v @ unit.T / np.maximum(norm, 1e-30)[:, None] if names else np.zeros((b - a, 1))
