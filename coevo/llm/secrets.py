@@ -8,7 +8,9 @@ entropy follows. A candidate whose highest window entropy reaches its class's th
 unless the allow list knows it or a base span already covers it.
 
 Defined results: null text is the empty text; a text without spans has the hash of the empty string
-and an empty ``spans``; repeated rows give repeated rows; other columns are dropped by ``secret_spans``.
+and an empty ``spans``; very long texts are scanned whole, in time that grows with their length; spans that start at one
+place are listed in the order of ``KINDS``; repeated rows give repeated rows; an empty table gives no rows; other columns,
+whatever their names, are dropped by ``secret_spans`` and carried by ``redact``.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import quoted
+
 #: Fixed values of the contract.
 ASSIGN = "(?i:(password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = "AKIA[A-Z0-9]{16,}"
@@ -39,6 +43,8 @@ ALLOWED = (
 #: The characters that the counts know; any other cannot be in a candidate.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
+#: Matches that are placed one after the other.
+PART = 256
 SPAN = "struct<kind:int,start:int,stop:int,value:string>"
 
 
@@ -47,19 +53,27 @@ def _let(value: Column, body) -> Column:
 
 
 def _spans(text: Column, pattern: str, kind: int) -> Column:
-    """All leftmost non-overlapping matches: kind, start, stop (code points) and the string."""
-
-    def placed(found: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    """All leftmost non-overlapping matches: kind, start, stop (code points) and the string. Matches go in parts of ``PART``:
+    an array that grows by appending is copied each time, so only those of a part and the parts' starts grow that way."""
+    none = F.array().cast(f"array<{SPAN}>")
 
+    def within(part: Column, first: Column) -> Column:
         def step(a: Column, x: Column) -> Column:
             begin = a["at"] + F.length(x["gap"])
             stop = begin + F.length(x["hit"])
             span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), stop.alias("stop"), x["hit"].alias("value"))
             return F.struct(stop.alias("at"), F.concat(a["out"], F.array(span)).alias("out"))
 
-        between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-        return F.when(F.size(found) == 0, F.array().cast(f"array<{SPAN}>")).otherwise(F.aggregate(F.arrays_zip(between.alias("gap"), found.alias("hit")), start, step, lambda a: a["out"]))
+        return F.aggregate(part, F.struct(first.alias("at"), none.alias("out")), step, lambda a: a["out"])
+
+    def placed(found: Column) -> Column:
+        pairs = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("gap"), found.alias("hit"))
+        parts = _let(pairs, lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / PART).cast("int")), lambda k: F.slice(p, k * PART + 1, F.lit(PART))))
+        width = lambda part: F.aggregate(part, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["hit"]))
+        none_yet = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        firsts = lambda q: F.aggregate(q, none_yet, lambda a, part: F.struct((a["at"] + width(part)).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        many = _let(parts, lambda q: F.flatten(F.zip_with(q, firsts(q), within)))
+        return F.when(F.size(found) == 0, none).when(F.size(found) <= PART, within(pairs, F.lit(0))).otherwise(many)
 
     return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
@@ -108,7 +122,7 @@ def _suspicious(span: Column, base: Column) -> Column:
 def secret_spans(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """doc_id (or the columns named in ``carry``), text, base and added: arrays of (kind, start, stop, value)."""
     carry = ["doc_id"] if carry is None else carry
-    text = docs.select(*[f"`{c}`" for c in carry if c != "text"], F.coalesce("text", F.lit("")).alias("text"))
+    text = docs.select(*[quoted(c) for c in carry if c != "text"], F.coalesce("text", F.lit("")).alias("text"))
     t = F.col("text")
     long_enough = F.filter(_spans(t, ASSIGN, 0), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6)
     base = F.array_sort(F.concat(long_enough, _spans(t, ACCESS, 1), _spans(t, HEX, 2)), _by_place)
@@ -127,16 +141,20 @@ def listed(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """All columns of docs, with each maximal run of span characters in text replaced by ``mask``; null text stays null."""
+    """All columns of docs, with each maximal run of span characters in text replaced by ``mask``, of spans that touch or
+    overlap together; null text stays null."""
     names = docs.columns
-    found = secret_spans(docs.withColumn("_null", F.col("text").isNull()), [*names, "_null"])
+    inside = docs.select(F.struct(*[quoted(c) for c in names]).alias("row"), F.col("text"))
+    found = secret_spans(inside, ["row"])
     spans = F.array_sort(F.concat("base", "added"), _by_place)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    start = F.struct(F.lit(-1).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
-        lead = F.when(s["start"] >= a["at"], F.concat(F.substr(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit(mask))).otherwise(F.lit(""))
-        return F.struct(F.greatest(a["at"], s["stop"]).alias("at"), F.concat(a["out"], lead).alias("out"))
-
-    clean = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1, F.length("text"))))
-    text = F.when(F.col("_null"), F.lit(None)).when(F.size("base") + F.size("added") == 0, F.col("text")).otherwise(clean)
-    return found.withColumn("text", text).select(*[f"`{c}`" for c in names])
+        lead = F.concat(F.substr(F.col("text"), F.greatest(a["at"], F.lit(0)) + 1, s["start"] - F.greatest(a["at"], F.lit(0))), F.lit(mask))
+        out = F.when(s["start"] > a["at"], F.concat(a["out"], F.array(lead))).otherwise(a["out"])
+        return F.struct(F.greatest(a["at"], s["stop"]).alias("at"), out.alias("out"))
+
+    clean = F.aggregate(spans, start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substr(F.col("text"), F.greatest(a["at"], F.lit(0)) + 1, F.length("text"))))
+    text = F.when(F.col("row.text").isNull(), F.lit(None)).when(F.size("base") + F.size("added") == 0, F.col("text")).otherwise(clean)
+    done = found.select("row", text.alias("_text"))
+    return done.select(*[F.col("_text").alias("text") if c == "text" else F.col("row." + quoted(c)).alias(c) for c in names])
