@@ -53,7 +53,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Exact ids for whole texts; one per Python worker and tokenizer file."""
 
-    def __init__(self, path: str, most_words: int = 500_000, leaf: int = LEAF, long: int = LONG, piece_leaf: int = PIECE_LEAF):
+    def __init__(self, path: str, most_words: int = 300_000, leaf: int = LEAF, long: int = LONG, piece_leaf: int = PIECE_LEAF):
         from tokenizers import Tokenizer, models
 
         self.tokenizer = Tokenizer.from_file(path)

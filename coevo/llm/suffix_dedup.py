@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import enter
+from .common import enter, quoted
 
 LENGTH, GRAM = 100, 24
 #: Bytes of documents packed together, and in an input shard, which has its own suffix array.
@@ -584,9 +585,9 @@ def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int
     characters: a character that loses some of its bytes goes whole."""
     found = repeated_spans(docs, shards, block_bytes, hot)
     left = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)))
-    left = left.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), "_key", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes")).drop("text")
+    left = left.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), "_key", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes")).drop("text")
     left = left.withColumn("row", F.col("row").dropFields("text")) if len(docs.columns) > 1 else left
-    left = left.mapInArrow(_squeezed, f"row {dict(left.dtypes)['row']}, _id {dict(left.dtypes)['_id']}, _key long, _bytes binary")
+    left = left.mapInArrow(_squeezed, left.schema)
     right = found.select(F.col("doc_id").alias("_id2"), F.col("text_key").alias("_key2"), "spans")
     both = left.join(right, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left")
 
@@ -610,8 +611,8 @@ def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=["row", "kept", "removed"])
 
     row = both.select("row", "_bytes", "spans")
-    kind = dict(row.dtypes)["row"]
-    return row.mapInArrow(cut, f"row {kind}, kept binary, removed array<struct<start:long,stop:long>>")
+    span = StructType([StructField("start", LongType()), StructField("stop", LongType())])
+    return row.mapInArrow(cut, StructType([row.schema["row"], StructField("kept", BinaryType()), StructField("removed", ArrayType(span))]))
 
 
 def without_repeats(docs: DataFrame, shards: int | None = None) -> DataFrame:
@@ -621,4 +622,4 @@ def without_repeats(docs: DataFrame, shards: int | None = None) -> DataFrame:
         extra += "_"
     done = remove_repeats(docs.withColumn(extra, F.col("text").isNull()), shards, characters=True)
     text = F.when(~F.col(f"row.`{extra}`"), F.col("kept").cast("string"))
-    return done.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return done.select(*[text.alias("text") if c == "text" else F.col("row." + quoted(c)).alias(c) for c in docs.columns])

@@ -1,6 +1,11 @@
 """The corpus pipeline: documents in, packed token sequences out.
 
-Each stage works on all that its predecessor kept; all but the last return the columns of ``documents``.
+Each stage works on all that its predecessor kept; all but the last return the columns of ``documents`` and any extra ones.
+
+Defined results, by stage and as the operators' own modules say: null and empty texts are judged, grouped with each other,
+left as they are, and packed as the end id alone; rows are told apart by doc_id and text, so rows that share a doc_id go
+or stay by their own text, and rows equal in both go together; a null doc_id is never a near duplicate; very long texts go
+through whole; of ties the smallest doc_id stays; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -142,6 +142,46 @@ def test_best_fit_takes_the_smallest_gap():
     assert packing.best_fit_decreasing([], 10) == []
 
 
+def test_best_fit_like_a_plain_search():
+    r = random.Random(8)
+    for capacity in (7, 50, 4096):
+        for _ in range(30):
+            lengths = [r.randint(1, capacity) for _ in range(r.randint(0, 200))]
+            gaps: list[int] = []
+            for n in sorted(lengths, reverse=True):
+                open_ = [g for g in gaps if g >= n]
+                if open_:
+                    gaps[gaps.index(min(open_))] -= n
+                else:
+                    gaps.append(capacity - n)
+            bins = packing.best_fit_decreasing(lengths, capacity)
+            assert sorted(k for b in bins for k in b) == list(range(len(lengths)))
+            assert sorted(capacity - sum(lengths[k] for k in b) for b in bins) == sorted(gaps)
+
+
+def test_matrix_query(spark, library):
+    folder = "/root/testdata/sf0.001"
+    rows = registry.op2_packed_matrices(spark, folder).collect()
+    found = {}
+    for r in rows:
+        ids = np.frombuffer(r.input_ids, "<u4")
+        assert len(ids) == 4096 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] <= 4096 and (ids[r.cu_seqlens[-1]:] == 0).all()
+        for d, p, start, a, b in zip(r.doc_ids, r.pieces, r.starts, r.cu_seqlens, r.cu_seqlens[1:]):
+            assert start == 4096 * p
+            found[d, p] = ids[a:b].tolist()
+    total = 0
+    for d in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        ids = [*library.encode(d.text or "", add_special_tokens=False).ids, 1]
+        total += len(ids)
+        assert [x for p in range(-(-len(ids) // 4096)) for x in found.pop((d.doc_id, p))] == ids
+    assert not found and -(-total // 4096) <= len(rows) <= -(-total // 4096) * 1.1 + 1
+
+
+def test_clashing_columns(spark, edge_docs):
+    docs = edge_docs.withColumn("ids", F.lit(1)).withColumn("n_tokens", F.lit("x")).withColumn("decoded", F.lit(2))
+    assert bpe.encode_documents(docs, PATH).count() == docs.count()
+
+
 def test_decode_ids(spark, library):
     ids = library.encode("Hello, world", add_special_tokens=False).ids
     df = spark.createDataFrame([(1, np.array(ids, "<u4").tobytes()), (2, None)], "doc_id long, ids binary")
