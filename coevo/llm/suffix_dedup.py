@@ -37,7 +37,7 @@ from .common import enter, quoted
 
 LENGTH, GRAM = 100, 24
 #: Bytes of documents packed together, and in an input shard, which has its own suffix array.
-BLOCK_BYTES, INPUT_BYTES = 3 << 19, 1 << 19
+BLOCK_BYTES, INPUT_BYTES = 3 << 19, 1 << 18
 #: Bytes of segments in one suffix array of a merge task, and held before it merges them.
 RUN_BYTES, MERGE_BYTES = 1 << 19, 6 << 20
 #: Bytes of segments that a merge task is planned for.
@@ -76,11 +76,20 @@ def _smallest(grams: np.ndarray) -> np.ndarray:
     return (low & np.uint64(0xFFFFFF)).astype(np.int64)
 
 
+def _anchors(buf: np.ndarray, step: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+    """(gram hash from each position, smallest gram's place of the window from each position), in parts that stay in cache."""
+    grams, anchor = np.empty(len(buf) - GRAM + 1, np.uint64), np.empty(len(buf) - LENGTH + 1, np.int64)
+    for a in range(0, len(anchor), step):
+        part = gram_hashes(buf[a:a + step + LENGTH - 1])
+        grams[a:a + len(part)] = part
+        anchor[a:a + step] = _smallest(part) + a
+    return grams, anchor
+
+
 def segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, mask: np.ndarray | None = None, hot: np.ndarray | None = None):
     """(dealing key, gram's place, first window, last window, document) of each segment, in order, of documents joined in
     buf. mask: which positions are windows to keep. hot: sorted gram hashes whose windows are dealt by another gram too."""
-    grams = gram_hashes(buf)
-    anchor = _smallest(grams)
+    grams, anchor = _anchors(buf)
     n = np.maximum(sizes - LENGTH + 1, 0)
     doc = np.repeat(np.arange(len(sizes)), n)
     at = np.arange(len(doc)) + np.repeat(starts - (np.cumsum(n) - n), n)
@@ -147,7 +156,7 @@ def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shi
     and segments of the others, one place each. shift: where each piece begins in its document."""
     import zstandard
 
-    press = zstandard.ZstdCompressor(level=6)
+    press = zstandard.ZstdCompressor(level=5)
     shift = np.zeros(len(sizes), np.int64) + shift
     n = np.maximum(sizes - LENGTH + 1, 0)
     if not n.sum():
@@ -286,29 +295,30 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH) -> np.
     if not n:
         return np.zeros(0, np.uint8)
     words = _words(text, most + 8)
-    before = np.full(n, len(words))
+    before = np.full(n + 64, len(words))
     before[sa[1:]] = sa[:-1]
-    words = np.append(words, np.uint64((int(text[sa[0]]) + 1) % 256))  # the first suffix has nothing before it: no byte equal
+    # the first suffix has nothing before it, nor has what a lane reads past the end: no byte equal
+    words = np.append(words, np.uint64((int(text[sa[0]]) + 1) % 256))
     step = -(-n // max(1, n // 512))
     at = np.arange(0, n, step)
     end = np.minimum(at + step, n)
     h = np.zeros(len(at), np.int64)
-    out = np.zeros(n, np.uint8)
+    out = np.zeros(n + 64, np.uint8)
     one = np.uint64(1)
     while len(at):
-        differ = words[at + h] ^ words[before[at] + h]
-        equal = np.bitwise_count((differ & (~differ + one)) - one) >> 3
-        h += equal
-        done = (equal < 8) | (h >= most)
-        np.minimum(h, most, out=h)
-        out[at[done]] = h[done]
-        h -= done
-        np.maximum(h, 0, out=h)
-        at += done
-        if (at >= end).any():
-            live = at < end
-            at, end, h = at[live], end[live], h[live]
-    return out[sa]
+        for _ in range(32):  # a lane that goes on past its end finds what the next one finds
+            differ = words[at + h] ^ words[before[at] + h]
+            equal = np.bitwise_count((differ & np.negative(differ)) - one) >> 3
+            h += equal
+            np.minimum(h, most, out=h)
+            done = (equal < 8) | (h == most)
+            out[at[done]] = h[done]
+            at += done
+            h -= done
+            np.maximum(h, 0, out=h)
+        live = at < end
+        at, end, h = at[live], end[live], h[live]
+    return out[:n][sa]
 
 
 class Run:
