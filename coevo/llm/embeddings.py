@@ -5,11 +5,14 @@ turn; near vectors share long beginnings. Each task compares a sorted range in b
 and verifies by cosine. Passes come in batches that grow with the logarithm of the input, since an order must then
 agree on more bits; where vectors lie dense a window holds few of a vector's neighbours, so batches go on until the
 last half of all passes has joined no two groups. What leaves a window is a spanning forest of its verified pairs; the union of all passes gives groups.
-Within a group every pair is then compared exactly, in blocks of bounded size dealt over tasks, so links
-are counted in full however large the group; no pair list is ever written. Equal vectors are one node.
+Within a group every pair is then compared exactly, in blocks of bounded size dealt over tasks, so links are counted in
+full however large the group, not only those that a window showed; no pair list is ever written. This costs a group of
+k different vectors k^2 comparisons and k^2 / ``BLOCK`` rows on their way; a link between two groups that no pass joined is
+not counted. Equal vectors are one node.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing;
-vectors of different lengths never link; repeated rows are copies of each other; an empty table gives no rows.
+vectors of different lengths never link; a cosine of the threshold itself links; a null id links with nothing and has a
+null component; repeated rows are copies of each other; extra columns, whatever their names, are dropped; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,8 +12,9 @@ buckets split a length that many pieces share; no task holds a whole length.
 come, ``buffer_tokens`` at a time, and writes id matrices with cumulative lengths and resets.
 
 Defined results: null text is empty; an empty document is one piece of the end id alone; equal
-lengths are placed in (doc_id, piece) order within a bucket; repeated rows are packed as often as they
-occur; an empty table gives no rows. Extra columns are dropped before tokenizing.
+lengths are placed in (doc_id, piece) order within a bucket; very long texts are cut into pieces of the capacity, and
+nothing of them is lost; a null doc_id is packed like any other; repeated rows are packed as often as they
+occur; an empty table gives no rows. Extra columns, whatever their names, are dropped before tokenizing.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ The rules become ordered CASE WHEN branches; rows that none covers are kept.
 
 Defined results: null text has no words (all counts 0, base_failed, not kept); labels that are null or
 whose document is missing teach nothing; without labels of both kinds the list is empty, and only
-base_failed rejects; repeated rows are judged alike; an empty table gives no rows.
+base_failed rejects; very long texts are measured whole; of conditions with equal gain the first in the order of
+``FEATURES`` and of values is taken; a null doc_id is judged but teaches nothing; repeated rows are judged alike; an empty
+table gives no rows; extra columns, whatever their names, are dropped.
 """
 
 from __future__ import annotations

@@ -9,9 +9,14 @@ of the verified links leaves the task, never all pairs. Equal fingerprints are o
 A variant's rows are 16 bytes each and hold distinct fingerprints only; long runs are searched outward from
 one fingerprint at a time against those not yet reached, so a dense group costs its size, not its square.
 
+A variant's key has 21 or 22 bits of the fingerprint, so its runs grow with the number of distinct fingerprints: of 10^9 a
+run has some 500, all of which are compared with what is not yet reached. Beyond some 10^10 one segment less
+is too few bits: fingerprints of more bits, and wider segments with them, are needed then.
+
 Defined results: null text and text without words have fingerprint zero and link like any other; a null
-doc_id gets a fingerprint, but links with nothing and has a null component; repeated rows give repeated rows;
-an empty table gives no rows.
+doc_id gets a fingerprint, but links with nothing and has a null component; very long texts are hashed whole; of a group
+the smallest doc_id names it; repeated rows give repeated rows; extra columns, whatever their names, are dropped by
+``near_duplicates`` and ``similar`` and carried by ``keep_first`` and ``keep_similar``; an empty table gives no rows.
 """
 
 from __future__ import annotations
