@@ -40,7 +40,7 @@ class Codes:
 
 
 def objective(codes: np.ndarray | Codes, weights: np.ndarray, site: int, q: int, lambda_h: float, lambda_j: float) -> Callable:
-    """x -> (value, gradient) for one site; x is h then J, flat. J of the site itself stays zero."""
+    """x -> (value, gradient) for one site; x is h then J, flat. J of the site itself is no part of the energy, so it stays zero."""
     codes = codes if isinstance(codes, Codes) else Codes(codes, q)
     n = codes.codes.shape[1]
     w = weights / weights.sum()
@@ -50,12 +50,12 @@ def objective(codes: np.ndarray | Codes, weights: np.ndarray, site: int, q: int,
     def value(x: np.ndarray) -> tuple[float, np.ndarray]:
         h, j = x[:q], x[q:].reshape(n * q, q)
         f, dh, dj = 0.0, 2 * lambda_h * h, lambda_j * j
-        if j[mine].any():
-            raise ValueError("a site has no couplings with itself")
+        others = j.copy()
+        others[mine] = 0
         for first, one in codes.parts():
             k = np.arange(len(one))
             s, v = own[first:first + len(one)], w[first:first + len(one)]
-            energy = one @ j + h
+            energy = one @ others + h
             top = energy.max(1, keepdims=True)
             log_z = top[:, 0] + np.log(np.exp(energy - top).sum(1))
             f -= (v * (energy[k, s] - log_z)).sum()
@@ -63,7 +63,7 @@ def objective(codes: np.ndarray | Codes, weights: np.ndarray, site: int, q: int,
             residual[k, s] += v
             dh = dh - residual.sum(0)
             dj -= one.T @ residual
-        dj[mine] = 0
+        dj[mine] = lambda_j * j[mine]
         return float(f + lambda_h * (h @ h) + lambda_j / 2 * (j * j).sum()), np.concatenate([dh, dj.ravel()])
 
     return value
