@@ -5,8 +5,8 @@ letters' vectors by multiplying them, after rolling each by its place; a text's
 those of its windows, taken within words padded by one blank. A language's prototype adds up
 the vectors of its training texts. The language is the prototype with the highest cosine.
 
-A text's vector is the product of its window counts with the windows' vectors; windows are counted
-per distinct word once, so a block of texts costs one small matrix product; a block has a bounded number of texts. Prototype sums are whole
+A text's vector is the product of its window counts with the windows' vectors; windows are counted for a block of
+texts at once, which costs one small matrix product; a block has a bounded number of texts. Prototype sums are whole
 numbers, so they don't depend on how the input is cut. Only languages x dimensions numbers, the model itself, reach
 the driver and are broadcast.
 
@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, blocks, enter, keep, per_document, split_blank
+from .common import blocks, enter, keep
 
 DIMENSIONS = 1024
 _VECTORS: dict[tuple[int, int], np.ndarray] = keep("language", {})
-_WORDS: list[WordTable] = keep("language", [])
+_LETTERS: list[np.ndarray] = []
 
 
 def letter_vector(code: int, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -38,46 +38,54 @@ def letter_vector(code: int, dimensions: int = DIMENSIONS) -> np.ndarray:
     return _VECTORS[code, dimensions]
 
 
-def window_vectors(codes: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """One row per window code (three code points of 21 bits)."""
-    parts = [(codes >> s) & 0x1FFFFF for s in (42, 21, 0)]
-    letters, at = np.unique(np.concatenate(parts), return_inverse=True)
-    base = np.stack([letter_vector(int(c), dimensions) for c in letters])
-    a, b, c = at.reshape(3, -1)
-    return np.roll(base, 2, axis=1)[a] * np.roll(base, 1, axis=1)[b] * base[c]
-
-
-def _windows(words: list[str]) -> list[list[int]]:
-    out = []
-    for w in words:
-        got: list[int] = []
-        if w.isalpha():
-            runs = [w.lower()]
-        else:
-            runs = "".join(c if c.isalpha() else " " for c in w.lower()).split()
-        for r in runs:
-            p = [32, *map(ord, r), 32]
-            got += [(x << 42) | (y << 21) | z for x, y, z in zip(p, p[1:], p[2:])]
-        out.append(got)
-    return out
+def _alphabetic() -> np.ndarray:
+    """Which code points are letters."""
+    if not _LETTERS:
+        _LETTERS.append(np.fromiter((chr(k).isalpha() for k in range(0x110000)), bool, 0x110000))
+    return _LETTERS[0]
+
+
+def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(letters, windows, text numbers): code points with the blank first, and for each letter of the texts the three numbers
+    of its window, of the letter before, its own and the one after; where a word begins or ends the blank stands in."""
+    lower = [t.lower() for t in texts]
+    code = np.frombuffer(f" {' '.join(lower)} ".encode("utf-32-le", "surrogatepass"), "<u4")
+    letter = _alphabetic()[code]
+    at = np.flatnonzero(letter)
+    ends = np.cumsum(np.fromiter(map(len, lower), np.int64, len(lower)) + 1)
+    letters = np.flatnonzero(np.bincount(code[at], minlength=33))
+    number = np.zeros(max(int(letters[-1]) + 1 if len(letters) else 0, 33), np.int64)
+    number[letters] = np.arange(1, len(letters) + 1)
+    value = np.zeros(len(code), np.int64)  # all that is no letter counts as a blank
+    value[at] = number[code[at]]
+    three = np.stack([value[at - 1], value[at], value[at + 1]])
+    return np.concatenate([[32], letters]), three, np.searchsorted(ends, at, side="left")
 
 
 def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """float64 rows of whole numbers, one per text."""
     enter("language")
-    if not _WORDS:
-        _WORDS.append(WordTable(_windows, np.int64))
-    flat, size = per_document(_WORDS[0], texts, split_blank)
+    letters, three, doc = windows(texts)
     out = np.zeros((len(texts), dimensions))
-    if not len(flat):
+    if not three.shape[1]:
         return out
-    codes, at = np.unique(flat, return_inverse=True)
-    doc = np.repeat(np.arange(len(texts)), size)
-    for a in range(0, len(codes), 4096):
-        part = (at >= a) & (at < a + 4096) if len(codes) > 4096 else slice(None)
-        wide = min(4096, len(codes) - a)
-        counts = np.bincount(doc[part] * wide + at[part] - a, minlength=len(texts) * wide).reshape(len(texts), wide)
-        out += counts.astype(np.float32) @ window_vectors(codes[a:a + wide], dimensions).astype(np.float32)
+    n = len(letters)
+    code = (three[0] * n + three[1]) * n + three[2]
+    if n**3 <= 1 << 22:  # a table of all windows is small
+        found = np.flatnonzero(np.bincount(code, minlength=n**3))
+        place = np.empty(n**3, np.int64)
+        place[found] = np.arange(len(found))
+        at = place[code]
+    else:
+        found, at = np.unique(code, return_inverse=True)
+    base = np.stack([letter_vector(int(c), dimensions) for c in letters])
+    rolled = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base
+    for a in range(0, len(found), 4096):
+        part = (at >= a) & (at < a + 4096) if len(found) > 4096 else slice(None)
+        own = found[a:a + 4096]
+        bound = rolled[0][own // n**2] * rolled[1][own // n % n] * rolled[2][own % n]
+        counts = np.bincount(doc[part] * len(own) + at[part] - a, minlength=len(texts) * len(own)).reshape(len(texts), len(own))
+        out += counts.astype(np.float32) @ bound.astype(np.float32)
     return out
 
 
