@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 FAR = 50.0
 
 
+def _square():
+    """The squared distance of atoms (xa, ya, za) and (x, y, z); products, as POWER costs far more."""
+    return sum((F.col(p) - F.col(q)) * (F.col(p) - F.col(q)) for p, q in (("xa", "x"), ("ya", "y"), ("za", "z")))
+
+
 def contacts(atoms_a: DataFrame, atoms_b: DataFrame, cutoff: float) -> DataFrame:
     """(res_a, res_b, dist) of residues whose nearest atoms are nearer than cutoff. Atoms (res, x, y, z) meet in cells
     of that size and their 26 neighbours, so only near atoms are compared."""
@@ -15,7 +22,7 @@ def contacts(atoms_a: DataFrame, atoms_b: DataFrame, cutoff: float) -> DataFrame
     around = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))
     a = atoms_a.select(F.col("res").alias("res_a"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.col("z").alias("za"), cell("x").alias("cx"), cell("y").alias("cy"), cell("z").alias("cz"))
     b = atoms_b.select("*", around("x").alias("cx")).select("*", around("y").alias("cy")).select("*", around("z").alias("cz"))
-    square = sum((F.col(p) - F.col(q)) ** 2 for p, q in (("xa", "x"), ("ya", "y"), ("za", "z")))
+    square = _square()
     near = a.join(b, ["cx", "cy", "cz"]).select("res_a", F.col("res").alias("res_b"), F.sqrt(square).alias("d")).where(F.col("d") < cutoff)
     return near.groupBy("res_a", "res_b").agg(F.min("d").alias("dist"))
 
@@ -25,12 +32,14 @@ def surface(near: DataFrame, chain: str) -> DataFrame:
 
 
 def distances(atoms_a: DataFrame, atoms_b: DataFrame, cutoff: float) -> DataFrame:
-    """(res_a, res_b, dist to one decimal) of all pairs of surface residues, those with any contact."""
-    near = contacts(atoms_a, atoms_b, cutoff)
+    """(res_a, res_b, dist to one decimal) of all pairs of surface residues, those with any contact. One chain's atoms are
+    dealt by residue first, so where the other chain is small enough to be broadcast no pair of atoms is shuffled."""
+    near = stored(contacts(atoms_a, atoms_b, cutoff), "contacts")
     a = atoms_a.join(surface(near, "a"), "res", "left_semi").select(F.col("res").alias("res_a"), F.col("x").alias("xa"), F.col("y").alias("ya"), F.col("z").alias("za"))
     b = atoms_b.join(surface(near, "b"), "res", "left_semi").withColumnRenamed("res", "res_b")
-    square = sum((F.col(p) - F.col(q)) ** 2 for p, q in (("xa", "x"), ("ya", "y"), ("za", "z")))
-    return a.crossJoin(b).groupBy("res_a", "res_b").agg(F.bround(F.sqrt(F.min(square)), 1).alias("dist"))
+    square = _square()
+    tasks = atoms_a.sparkSession.sparkContext.defaultParallelism  # a plain count, as few rows of one side are long work with the other
+    return a.repartition(tasks, "res_a").crossJoin(b).groupBy("res_a", "res_b").agg(F.bround(F.sqrt(F.min(square)), 1).alias("dist"))
 
 
 def with_distance(scores: DataFrame, interface: DataFrame, default: float | None = FAR) -> DataFrame:

@@ -14,7 +14,9 @@ SHAPE = {"a": (48, 1, 97), "b": (32, 7, 101)}
 #: Row number of a text's k-th row: doc_id times this, and k.
 STEP = 1_000_000
 SPLIT = 24  # columns of chain A in alignment a
-SCALE, CUTOFF = 40.0, 8.0
+SCALE, CUTOFF = 500.0, 8.0
+#: Where the atoms of a residue begin in its vector of 64 elements.
+ATOMS = [*range(0, 63, 3), 61]
 #: Sequences that go into weights and fits, as in the reference's own configuration: more are sampled down.
 SAMPLE = 30_000
 
@@ -40,14 +42,12 @@ def clean(spark: SparkSession, sf_dir: str, which: str = "a") -> DataFrame:
     return drop_gapped(drop_invalid(alignment(spark, sf_dir, which)), 0.5)
 
 
-def atoms(spark: SparkSession, sf_dir: str, label: int) -> DataFrame:
-    """Two atoms per residue; residues of a chain count from 1 in vec_id order (the label's rank, over one label's ids)."""
-    from pyspark.sql import Window
-
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(F.col("label") == label)
-    rows = rows.withColumn("res", F.row_number().over(Window.partitionBy("label").orderBy("vec_id")).cast("int"))
-    part = lambda k: rows.select("res", *[(F.col("embedding")[k + i].cast("double") * SCALE).alias(n) for i, n in enumerate("xyz")])
-    return part(0).unionByName(part(3))
+def atoms(spark: SparkSession, sf_dir: str, chain: int) -> DataFrame:
+    """The atoms of one chain: vectors with even ids are chain 0, with odd ids chain 1, and residues count from 1 in id order.
+    Every element is a coordinate: three in turn make an atom, and the last three once more, as 64 is no multiple of three."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(F.col("vec_id") % 2 == chain)
+    place = lambda k: F.struct(*[(F.col("embedding")[k + i].cast("double") * SCALE).alias(n) for i, n in enumerate("xyz")])
+    return rows.select((F.floor(F.col("vec_id") / 2) + 1).cast("int").alias("res"), F.explode(F.array(*map(place, ATOMS))).alias("at")).select("res", "at.*")
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,9 +269,9 @@ def one_based(spark, sf_dir):
     return C.one_based(scored(spark, sf_dir).where("pos2 > 24").withColumn("pos1", F.col("pos1") - 1))
 
 
-def _atoms(label: int, name: str) -> str:
-    return f"""{name} AS (SELECT res, CAST(embedding[k + 1] AS DOUBLE) * 40 AS x, CAST(embedding[k + 2] AS DOUBLE) * 40 AS y, CAST(embedding[k + 3] AS DOUBLE) * 40 AS z
- FROM (SELECT CAST(row_number() OVER (ORDER BY vec_id) AS INTEGER) AS res, embedding FROM embeddings WHERE label = {label}), (VALUES (0), (3)) v(k))"""
+def _atoms(chain: int, name: str) -> str:
+    return f"""{name} AS (SELECT CAST(vec_id // 2 + 1 AS INTEGER) AS res, CAST(embedding[k + 1] AS DOUBLE) * 500 AS x, CAST(embedding[k + 2] AS DOUBLE) * 500 AS y, CAST(embedding[k + 3] AS DOUBLE) * 500 AS z
+ FROM embeddings, (SELECT unnest(list_append(range(0, 63, 3), 61)) AS k) WHERE vec_id % 2 = {chain})"""
 
 
 FACE = f"""{_atoms(0, 'aa')}, {_atoms(1, 'ab')},
