@@ -44,6 +44,8 @@ RUN_BYTES, MERGE_BYTES = 1 << 19, 6 << 20
 SHARD_BYTES = 12 << 20
 #: Documents in the sample that shows which grams are common.
 SAMPLE_ROWS = 20_000
+#: Documents, and characters of each, from which the compression dictionary of that many bytes is made.
+PRESS_ROWS, PRESS_CHARS, PRESS_BYTES = 500, 2000, 112 << 10
 
 _RNG = np.random.default_rng(4)
 _BYTE = _RNG.integers(1, 1 << 63, 256, np.uint64)
@@ -151,12 +153,42 @@ def _edges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shift=0, hot: np.ndarray | None = None, input_bytes: int = INPUT_BYTES):
-    """(shard, blob) rows of a block of input shards: the spans of windows that repeat an earlier one of their input shard,
-    and segments of the others, one place each. shift: where each piece begins in its document."""
+def press_words(docs: DataFrame) -> bytes:
+    """A dictionary for what is compressed on its way, made from the first characters of a few documents, so that short blobs
+    shrink as well: the more merge tasks there are, the less each block has for one. It changes sizes only, no result.
+    Empty where there is too little to make it from."""
+    import zstandard
+
+    rows = docs.select(F.substring("text", 1, PRESS_CHARS).alias("t")).where("length(t) >= 100").limit(PRESS_ROWS).collect()
+    texts = [r.t.encode() for r in rows]
+    if sum(map(len, texts)) < 2 * PRESS_BYTES:
+        return b""
+    try:
+        return zstandard.train_dictionary(PRESS_BYTES, texts).as_bytes()
+    except zstandard.ZstdError:  # texts that are all alike
+        return b""
+
+
+def _press(level: int, words: bytes):
+    import zstandard
+
+    if not words:
+        return zstandard.ZstdCompressor(level=level)
+    known = zstandard.ZstdCompressionDict(words)
+    known.precompute_compress(level=level)
+    return zstandard.ZstdCompressor(level=level, dict_data=known)
+
+
+def _unpress(words: bytes):
     import zstandard
 
-    press = zstandard.ZstdCompressor(level=5)
+    return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words)) if words else zstandard.ZstdDecompressor()
+
+
+def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shift=0, hot: np.ndarray | None = None, input_bytes: int = INPUT_BYTES, words: bytes = b""):
+    """(shard, blob) rows of a block of input shards: the spans of windows that repeat an earlier one of their input shard,
+    and segments of the others, one place each. shift: where each piece begins in its document."""
+    press = _press(5, words)
     shift = np.zeros(len(sizes), np.int64) + shift
     n = np.maximum(sizes - LENGTH + 1, 0)
     if not n.sum():
@@ -448,11 +480,9 @@ def _merge(held: Segments, run_bytes: int):
     return _joined([alone, rest])
 
 
-def shard_repeats(blobs, run_bytes: int = RUN_BYTES, merge_bytes: int = MERGE_BYTES):
+def shard_repeats(blobs, run_bytes: int = RUN_BYTES, merge_bytes: int = MERGE_BYTES, words: bytes = b""):
     """(doc_id, doc_key, first window, after last window) arrays of all windows of a merge task that repeat an earlier one."""
-    import zstandard
-
-    press = zstandard.ZstdDecompressor()
+    press = _unpress(words)
     held: list[Segments] = []
     size, most = 0, merge_bytes
     for blob in blobs:
@@ -508,13 +538,15 @@ def common_grams(docs: DataFrame, n_docs: int, total_bytes: int, shard_bytes: in
     return np.sort(np.array([r.gram for r in rows], np.int64).view(np.uint64))
 
 
-def repeated_spans(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES, hot: np.ndarray | None = None) -> DataFrame:
+def repeated_spans(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES, hot: np.ndarray | None = None, words: bytes = b"") -> DataFrame:
     """(doc_id, text_key, spans): spans as start * 2^32 + stop of repeated bytes, several a document, not yet merged."""
     if shards is None:
         total, n = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("text")).first()
         shards = max(64, -(-int(total) * 7 // 2 // SHARD_BYTES))
         hot = common_grams(docs, n, int(total)) if hot is None else hot
 
+    known = docs.sparkSession.sparkContext.broadcast(words)  # of fixed size
+
     def pack(batches):
         enter("suffix")
         held: list[tuple] = []
@@ -524,7 +556,7 @@ def repeated_spans(docs: DataFrame, shards: int | None = None, block_bytes: int
             ids, keys, shift, texts = zip(*held)
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             buf = np.frombuffer(b"".join(texts), np.uint8)
-            for shard, blob in pack_block(buf, np.cumsum(sizes) - sizes, sizes, np.array(ids, np.int64), np.array(keys, np.int64), shards, np.array(shift), hot):
+            for shard, blob in pack_block(buf, np.cumsum(sizes) - sizes, sizes, np.array(ids, np.int64), np.array(keys, np.int64), shards, np.array(shift), hot, words=known.value):
                 yield shard, blob
 
         def batch_of(rows):
@@ -544,7 +576,7 @@ def repeated_spans(docs: DataFrame, shards: int | None = None, block_bytes: int
         enter("suffix")
         rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), (x.as_py() for x in batch.column(1))))
         for _, own in groupby(rows, key=itemgetter(0)):
-            for ids, keys, start, stop in shard_repeats(blob for _, blob in own):
+            for ids, keys, start, stop in shard_repeats((blob for _, blob in own), words=known.value):
                 span = (start << 32) | (stop - 1 + LENGTH)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, mask=ids == -(1 << 63)), pa.array(keys), pa.array(span)], names=["doc_id", "text_key", "span"])
 
@@ -565,11 +597,9 @@ def merged(spans: list[int] | np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _squeezed(batches):
+def _squeezed(batches, words: bytes):
     """The fourth column compressed, so that texts take little room on their way to the join."""
-    import zstandard
-
-    press = zstandard.ZstdCompressor(level=1)
+    press = _press(3, words)
     for batch in batches:
         packed = [press.compress(b) for b in batch.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["row", "_id", "_key", "_bytes"])
@@ -593,18 +623,18 @@ def _whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[in
 def remove_repeats(docs: DataFrame, shards: int | None = None, block_bytes: int = BLOCK_BYTES, characters: bool = False, hot: np.ndarray | None = None) -> DataFrame:
     """row (docs' columns but the text), removed (array of start, stop in bytes) and kept (the remaining bytes of the text).
     characters: a character that loses some of its bytes goes whole."""
-    found = repeated_spans(docs, shards, block_bytes, hot)
+    words = press_words(docs)
+    known = docs.sparkSession.sparkContext.broadcast(words)
+    found = repeated_spans(docs, shards, block_bytes, hot, words)
     left = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF)))
     left = left.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("_id"), "_key", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes")).drop("text")
     left = left.withColumn("row", F.col("row").dropFields("text")) if len(docs.columns) > 1 else left
-    left = left.mapInArrow(_squeezed, left.schema)
+    left = left.mapInArrow(lambda b: _squeezed(b, known.value), left.schema)
     right = found.select(F.col("doc_id").alias("_id2"), F.col("text_key").alias("_key2"), "spans")
     both = left.join(right, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2")), "left")
 
     def cut(batches):
-        import zstandard
-
-        press = zstandard.ZstdDecompressor()
+        press = _unpress(known.value)
         for batch in batches:
             kept, removed = [], []
             for packed, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):

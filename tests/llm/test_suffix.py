@@ -1,6 +1,7 @@
 """Suffix arrays and removal against brute force."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -161,3 +162,19 @@ def test_split_character():
     data = "aé漢b".encode()
     assert S._whole_characters(data, [(2, 4)]) == [(1, 6)] and S._whole_characters(data, [(0, 2), (3, 4)]) == [(0, 6)]
     assert S._whole_characters(data, [(1, 3)]) == [(1, 3)]
+
+
+def test_dictionary_changes_no_result(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(150)]
+    texts += [t[:700] for t in texts[:20]] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = S.press_words(docs)
+    assert 0 < len(known) <= S.PRESS_BYTES
+    assert S.press_words(docs.limit(3)) == b""
+    assert S.press_words(spark.createDataFrame([(k, "ab" * 900) for k in range(200)], "doc_id long, text string")) is not None
+    spans = [{(r.doc_id, *S.merged(r.spans)) for r in S.repeated_spans(docs, 5, words=w).collect()} for w in (b"", known)]
+    assert spans[0] == spans[1] and spans[0]
+    kept = {r.row.doc_id: bytes(r.kept) for r in S.remove_repeats(docs, 5).collect()}
+    assert len(kept) == len(texts) and kept[150] == b"" and kept[0] == texts[0].encode()
