@@ -8,6 +8,7 @@ from coevo.functions import residues as R
 from coevo.operators import alignment as A
 from coevo.operators import couplings as C
 from coevo.operators import fit, jobs
+from coevo.plans import roundtrips
 from coevo.sources import readers, writers
 
 
@@ -118,3 +119,11 @@ def test_pure_helpers():
     assert abs(C.spearman_p(0.5, 20) - 0.0247) < 5e-4 and C.spearman_p(1.0, 5) == 0.0
     with pytest.raises(ValueError):
         C.top_k(None, 0)
+
+
+def test_residue_numbers_come_again(spark, tmp_path):
+    """Vectors 7 and 10007 share chain and residue number, in one file of the input; both are atoms."""
+    rows = [(i, [i / 1000 + 0.001 * k for k in range(64)], 2) for i in (7, 8)] + [(10_007, [0.5] * 64, 2), (20_007, [0.25] * 64, 3)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = sorted((r.chain, r.res, r.x) for r in roundtrips.structure_scan(spark, str(tmp_path)).collect())
+    assert got == [("C", 7, 0.28), ("C", 7, 20.0), ("C", 8, 0.32)]
