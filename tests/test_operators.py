@@ -10,6 +10,8 @@ from coevo.operators import alignment as A
 from coevo.operators import couplings as C
 from coevo.operators import fit, interface, jobs
 from coevo.operators.store import JobStore
+from coevo.plans import queries as core
+from coevo.plans import roundtrips  # noqa: F401 (registers its queries with the others)
 from coevo.sources import readers, shared, writers
 from coevo.streaming import incoming
 
@@ -271,3 +273,27 @@ def test_from_files_to_scores(spark, tmp_path):
     scores = readers.stored_scores(spark, str(tmp_path / "scores"), "a-b")
     best = C.top_k(C.interchain(scores, 6), 1).first()
     assert scores.count() == 121 and (best.pos1, best.pos2) == (2, 4)
+
+
+def test_distances_of_some_pairs(spark):
+    """As of all pairs: off the surface or without atoms there is no row, and a residue may owe its place to one that has no score."""
+    rng = np.random.default_rng(3)
+    sides = [[(int(r), *map(float, p)) for r, p in zip(np.repeat(np.arange(1, 13), 4), rng.uniform(0, 22, (48, 3)))] for _ in "ab"]
+    a, b = [spark.createDataFrame(s, "res int, x double, y double, z double") for s in sides]
+    pairs = [(i, j) for i in (1, 2, 3, 5, 8, 13) for j in range(1, 8)]
+    got = {tuple(r) for r in interface.distances_of(spark.createDataFrame(pairs * 2, "res_a int, res_b int"), a, b, 3.0).collect()}
+    near = np.sqrt(((np.array(sides[0])[:, None, 1:] - np.array(sides[1])[None, :, 1:]) ** 2).sum(-1)).reshape(12, 4, 12, 4).min((1, 3))
+    on_a, on_b = (near < 3).any(1), (near < 3).any(0)
+    want = {(i, j, round(float(near[i - 1, j - 1]), 1)) for i, j in pairs if i < 13 and on_a[i - 1] and on_b[j - 1]}
+    assert got == want and 0 < len(want) < 35
+    assert any(on_a[i - 1] and not (near[i - 1, :7] < 3).any() for i in (1, 2, 3, 5, 8))
+
+
+@pytest.mark.parametrize("name", ["topk_tpr"])
+def test_scored_pairs_alone_are_compared(spark, monkeypatch, name):
+    """Distances of all pairs grow with the square of the residues; a query of some scores does without them."""
+    table = spark.createDataFrame([(i, j, (i * 7 + j * 5) % 11 / 1000 - 0.005) for i in range(1, 49) for j in range(1, 49)], "pos1 int, pos2 int, score double")
+    monkeypatch.setattr(core, "scored", lambda *_: table)
+    monkeypatch.setattr(core, "plain_scores", lambda *_: table.withColumn("score", -F.col("score")))
+    monkeypatch.delattr(interface, "distances")
+    assert core.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
