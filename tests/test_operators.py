@@ -289,7 +289,7 @@ def test_distances_of_some_pairs(spark):
     assert any(on_a[i - 1] and not (near[i - 1, :7] < 3).any() for i in (1, 2, 3, 5, 8))
 
 
-@pytest.mark.parametrize("name", ["topk_tpr", "classify_pairs", "monomer_benchmark", "true_positive_count", "benchmark_index"])
+@pytest.mark.parametrize("name", ["topk_tpr", "classify_pairs", "monomer_benchmark", "true_positive_count", "benchmark_index", "monomer_pairs"])
 def test_scored_pairs_alone_are_compared(spark, monkeypatch, name):
     """Distances of all pairs grow with the square of the residues; a query of some scores does without them."""
     table = spark.createDataFrame([(i, j, (i * 7 + j * 5) % 11 / 1000 - 0.005) for i in range(1, 49) for j in range(1, 49)], "pos1 int, pos2 int, score double")
