@@ -297,3 +297,21 @@ def test_scored_pairs_alone_are_compared(spark, monkeypatch, name):
     monkeypatch.setattr(core, "plain_scores", lambda *_: table.withColumn("score", -F.col("score")))
     monkeypatch.delattr(interface, "distances")
     assert core.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+
+
+def test_distances_by_blocks(spark):
+    """Residues of one to many atoms, over several blocks, atoms without a place, and decimals that lie on the edge."""
+    rng = np.random.default_rng(5)
+    sizes = [1, 2, 5, 9, 3000] + [4] * 1500
+    a = [(f"r{r}", *map(float, p)) for r, p in zip(np.repeat(np.arange(len(sizes)), sizes), rng.uniform(-60, 60, (sum(sizes), 3)))]
+    b = [(int(r), *map(float, p)) for r, p in zip(np.repeat(np.arange(40), 3), rng.uniform(-60, 60, (120, 3)))]
+    near = lambda x, y: np.sqrt(((np.array([t[1:] for t in x])[:, None] - np.array([t[1:] for t in y])[None]) ** 2).sum(-1))
+    d = np.minimum.reduceat(np.minimum.reduceat(near(a, b), np.cumsum([0, *sizes[:-1]]), 0), np.arange(0, 120, 3), 1)
+    on_a, on_b = (d < 3).any(1), (d < 3).any(0)
+    want = {(f"r{i}", int(j), round(float(d[i, j]), 1)) for i in np.nonzero(on_a)[0] for j in np.nonzero(on_b)[0]}
+    lost = [("r0", None, 0.0, 0.0), ("r1", float("nan"), 0.0, 0.0), ("r2", float("inf"), 0.0, 0.0), ("gone", None, None, None)]
+    left, right = spark.createDataFrame(a + lost, "res string, x double, y double, z double"), spark.createDataFrame(b, "res int, x double, y double, z double")
+    got = interface.distances(left, right, 3.0)
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 1000
+    edge = interface.least_distances(np.array([[[300.0, 0, 0]], [[-300.0, 0, 0]]]), np.array([[[300.25, 0, 0]], [[300.75, 0, 0]], [[300.0, 0, 0]]]))
+    assert edge.tolist() == [[0.2, 0.8, 0.0], [600.2, 600.8, 600.0]]
