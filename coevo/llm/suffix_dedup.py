@@ -1,9 +1,10 @@
 """Removal of repeated byte strings by per-shard suffix arrays.
 
-An input shard is a block of documents. Its suffix array is built by Larsson-Sadakane refinement (order by 8 bytes,
-then sort only the groups that are still equal by the rank of what follows, doubling the depth) and Kasai's common
-prefixes, in lanes that numpy advances together. Windows with a common prefix of 100 bytes are equal: all but the
-earliest repeat it and become spans at once, so one place per distinct window leaves an input shard.
+An input shard is a block of documents. Its suffix array is built by Larsson-Sadakane refinement (order by the first 7 bytes
+or more, then sort only the groups that are still equal by the rank of what follows, doubling the depth) and Kasai's common
+prefixes, of which only those that don't follow from the position before are compared. Windows with a common prefix of
+100 bytes are equal: all but the earliest repeat it and become spans at once, so one place per distinct window leaves an
+input shard.
 
 What is left meets the windows of other input shards. Every 100-byte window belongs to its smallest 24-byte gram by hash (the
 first of equals), so equal windows belong to equal grams wherever they stand; consecutive windows of one gram form a
@@ -88,21 +89,26 @@ def _anchors(buf: np.ndarray, step: int = 1 << 15) -> tuple[np.ndarray, np.ndarr
     return grams, anchor
 
 
+def _windows(n: int, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which of n positions begin a window of a string."""
+    edge = np.zeros(n + 1, np.int8)
+    whole = sizes >= LENGTH
+    edge[starts[whole]] = 1
+    edge[(starts + sizes)[whole] - LENGTH + 1] = -1
+    return np.cumsum(edge[:n], dtype=np.int8).view(bool)
+
+
 def segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, mask: np.ndarray | None = None, hot: np.ndarray | None = None):
     """(dealing key, gram's place, first window, last window, document) of each segment, in order, of documents joined in
-    buf. mask: which positions are windows to keep. hot: sorted gram hashes whose windows are dealt by another gram too."""
+    buf. mask: the windows to keep, of those there are. hot: sorted gram hashes whose windows are dealt by another gram too."""
     grams, anchor = _anchors(buf)
-    n = np.maximum(sizes - LENGTH + 1, 0)
-    doc = np.repeat(np.arange(len(sizes)), n)
-    at = np.arange(len(doc)) + np.repeat(starts - (np.cumsum(n) - n), n)
-    if mask is not None:
-        kept = mask[at]
-        doc, at = doc[kept], at[kept]
+    at = np.flatnonzero(_windows(len(buf), starts, sizes) if mask is None else mask)
     a = anchor[at]
     new = np.ones(len(at), bool)
-    new[1:] = (a[1:] != a[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)
-    key = grams[a]
+    new[1:] = (a[1:] != a[:-1]) | (at[1:] != at[:-1] + 1)  # windows of two documents are never neighbours
+    key = None
     if hot is not None and len(hot):
+        key = grams[a]
         common = np.isin(key, hot)
         if common.any():
             with np.errstate(over="ignore"):
@@ -113,21 +119,14 @@ def segments(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, mask: np.nd
             new[1:] |= key[1:] != key[:-1]
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1 if len(at) else first
-    return key[first], a[first], at[first], at[last], doc[first]
-
-
-def _parts(size: np.ndarray, most: int = 8192):
-    """Ranges of strings whose index arrays stay small."""
-    return [(a, min(a + most, len(size))) for a in range(0, len(size), most)]
+    doc = np.searchsorted(starts, at[first], side="right") - 1
+    return grams[a[first]] if key is None else key[first], a[first], at[first], at[last], doc
 
 
 def _take(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    ends = np.cumsum(size)
-    out = np.empty(int(ends[-1]) if len(ends) else 0, buf.dtype)
-    for a, b in _parts(size):
-        lo, hi = int(ends[a] - size[a]), int(ends[b - 1])
-        out[lo:hi] = buf[np.arange(lo, hi) + np.repeat(start[a:b] - (ends[a:b] - size[a:b]), size[a:b])]
-    return out
+    """The strings of buf one after the other."""
+    data = buf.tobytes()
+    return np.frombuffer(b"".join([data[a:b] for a, b in zip(start.tolist(), (start + size).tolist())]), np.uint8)
 
 
 def _ranks(*keys: np.ndarray) -> np.ndarray:
@@ -142,9 +141,11 @@ def _ranks(*keys: np.ndarray) -> np.ndarray:
     return which
 
 
-def _steps(x: np.ndarray) -> np.ndarray:
-    """Differences of neighbours, which pack better; modulo 2^32."""
-    return np.diff(x, prepend=0).astype("<i8").astype("<u4")
+def _steps(x: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, which pack better; each part's first stays."""
+    out = np.diff(x, prepend=0)
+    out[begins] = x[begins]
+    return out
 
 
 def _edges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,28 +186,32 @@ def _unpress(words: bytes):
     return zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words)) if words else zstandard.ZstdDecompressor()
 
 
+def _order(first: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The order of each window of strings that stand one after the other, from that of their first windows; -1: no window."""
+    order = np.repeat(first - starts, sizes)
+    order += np.arange(len(order))
+    order[~_windows(len(order), starts, sizes)] = -1
+    return order
+
+
 def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shift=0, hot: np.ndarray | None = None, input_bytes: int = INPUT_BYTES, words: bytes = b""):
     """(shard, blob) rows of a block of input shards: the spans of windows that repeat an earlier one of their input shard,
     and segments of the others, one place each. shift: where each piece begins in its document."""
     press = _press(3, words)
     shift = np.zeros(len(sizes), np.int64) + shift
-    n = np.maximum(sizes - LENGTH + 1, 0)
-    if not n.sum():
+    if not (sizes >= LENGTH).any():
         return
     rank = _ranks(doc_id, doc_key) << 32
     repeats, left = np.zeros(len(buf), bool), np.zeros(len(buf), bool)
     k, ends = 0, starts + sizes
     while k < len(starts):
         after = max(k + 1, int(np.searchsorted(ends, starts[k] + input_bytes, side="right")))
-        lo, hi, m = int(starts[k]), int(ends[after - 1]), n[k:after]
-        at = np.arange(int(m.sum())) + np.repeat(starts[k:after] - lo - (np.cumsum(m) - m), m)
-        order = np.full(hi - lo, -1)
-        order[at] = np.repeat(rank[k:after] + shift[k:after] - starts[k:after] + lo, m) + at
-        run = Run(buf[lo:hi], order)
+        lo, hi = int(starts[k]), int(ends[after - 1])
+        run = Run(buf[lo:hi], _order(rank[k:after] + shift[k:after], starts[k:after] - lo, sizes[k:after]))
         repeats[lo:hi] = run.repeats
         left[run.heads + lo] = True
         k = after
-    del run, order, at
+    del run
     first, after = _edges(repeats)
     if len(first):
         doc = np.searchsorted(starts, first, side="right") - 1
@@ -214,17 +219,24 @@ def pack_block(buf: np.ndarray, starts, sizes, doc_id, doc_key, shards: int, shi
         parts = [doc_id[doc].astype("<i8"), doc_key[doc].astype("<u4"), (first + own).astype("<i8"), (after - first).astype("<u4")]
         yield int(doc_key[0]) % shards, press.compress(b"S" + struct.pack("<I", len(first)) + b"".join(p.tobytes() for p in parts))
     key, anchor, first, last, doc = segments(buf, starts, sizes, left, hot)
-    size = last - first + LENGTH
     shard = (key >> np.uint64(40)).astype(np.int64) % shards
     by = np.argsort(shard, kind="stable")
-    cuts = np.flatnonzero(np.concatenate([[True], np.diff(shard[by]) != 0, [True]]))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        own = by[a:b]
-        docs, which = np.unique(doc[own], return_inverse=True)
-        parts = [
-            size[own].astype("u1"), (anchor - first)[own].astype("u1"), _steps(which), _steps(first[own] - (starts - shift)[doc[own]]),
-            np.diff(doc_id[docs], prepend=0).astype("<i8"), doc_key[docs].astype("<u4"), _take(buf, first[own], size[own])]
-        yield int(shard[own[0]]), press.compress(b"T" + struct.pack("<2I", len(own), len(docs)) + b"".join(p.tobytes() for p in parts))
+    shard, anchor, first, doc = shard[by], (anchor - first)[by], first[by], doc[by]
+    size = last[by] - first + LENGTH
+    begins = np.flatnonzero(np.diff(shard, prepend=-1))
+    cuts = np.append(begins, len(by)).tolist()
+    next_ = np.diff(doc, prepend=-1) != 0  # documents stand in order in each blob, so steps of 0 and 1 number them
+    next_[begins] = True
+    docs = doc[next_]
+    doc_cuts = np.append(np.cumsum(next_)[begins] - 1, len(docs)).tolist()
+    pos = _steps(first - (starts - shift)[doc], begins).astype("<u4")
+    ids, keys = _steps(doc_id[docs], np.array(doc_cuts[:-1], np.int64)).astype("<i8"), doc_key[docs].astype("<u4")
+    next_[begins] = False
+    small, data, ends = (size.astype("u1"), anchor.astype("u1"), next_.view("u1"), pos), _take(buf, first, size).data, np.append(0, np.cumsum(size)).tolist()
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        x, y = doc_cuts[k:k + 2]
+        parts = [struct.pack("<2I", b - a, y - x), *(p[a:b].tobytes() for p in small), ids[x:y].tobytes(), keys[x:y].tobytes(), data[ends[a]:ends[b]]]
+        yield int(shard[a]), press.compress(b"T" + b"".join(parts))
 
 
 class Segments(NamedTuple):
@@ -251,10 +263,34 @@ class Segments(NamedTuple):
 
 
 def _joined(parts: list[Segments]) -> Segments:
-    return Segments(*(np.concatenate(x) for x in zip(*parts))) if len(parts) != 1 else parts[0]
+    """All segments of the parts; those that have no grams yet come last and get them."""
+    own = Segments(*(np.concatenate(x) for x in zip(*parts))) if len(parts) != 1 else parts[0]
+    known = len(own.gram)
+    if known == len(own.size):
+        return own
+    return own._replace(gram=np.concatenate([own.gram, _grams(own.data, (np.cumsum(own.size) - own.size + own.anchor)[known:])]))
+
+
+def _grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``gram_hashes`` of the given places alone."""
+    out = np.empty(len(at), np.uint64)
+    for a in range(0, len(at), 4096):
+        part = at[a:a + 4096]
+        h = _BYTE[np.lib.stride_tricks.sliding_window_view(data, GRAM)[part].T]
+        with np.errstate(over="ignore"):
+            for level in range(5):
+                left, right = (h[::2], h[1::2]) if level < 3 else (h[:-1], h[1:])
+                h = left * _STEP[level]
+                h += right
+                h ^= h >> np.uint64(29)
+            h = h[0] * _STEP[7]
+            h ^= h >> np.uint64(32)
+        out[a:a + 4096] = h
+    return out
 
 
 def _unpack(raw: bytes) -> Segments:
+    """The segments of a blob, their grams left out."""
     n, docs = struct.unpack_from("<2I", raw, 1)
     at = 9
 
@@ -265,11 +301,10 @@ def _unpack(raw: bytes) -> Segments:
         return out
 
     size, anchor = read("u1", n).astype(np.int64), read("u1", n).astype(np.int64)
-    doc, pos = (np.cumsum(read("<u4", n), dtype=np.uint32).astype(np.int64) for _ in range(2))
+    doc, pos = np.cumsum(read("u1", n), dtype=np.int64), np.cumsum(read("<u4", n), dtype=np.uint32).astype(np.int64)
     ids, keys = np.cumsum(read("<i8", docs)), read("<u4", docs).astype(np.int64)
     data = np.frombuffer(raw, np.uint8, len(raw) - at, at)
-    gram = gram_hashes(_take(data, np.cumsum(size) - size + anchor, np.full(n, GRAM)))[::GRAM]
-    return Segments(gram, size, anchor, ids[doc], keys[doc], pos, data)
+    return Segments(np.empty(0, np.uint64), size, anchor, ids[doc], keys[doc], pos, data)
 
 
 def _unpack_spans(raw: bytes):
@@ -281,76 +316,107 @@ def _unpack_spans(raw: bytes):
     return ids, keys, first, first + length
 
 
-def _words(text: np.ndarray, more: int = 0) -> np.ndarray:
-    """The eight bytes from each position, and ``more`` zeros after the text, as numbers whose lowest byte comes first."""
-    w = np.concatenate([text, np.zeros(more + 7, np.uint8)]).astype(np.uint64)
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position, zeros after the text, as numbers whose lowest byte comes first."""
+    w = np.concatenate([text, np.zeros(7, np.uint8)]).astype(np.uint64)
     for k in (1, 2, 4):
         w = w[:-k] | (w[k:] << np.uint64(8 * k))
     return w
 
 
+def _first_letters(text: np.ndarray) -> tuple[np.ndarray, int]:
+    """(number of the first letters from each position, in the order of the suffixes, how many letters): bytes that occur are
+    numbered from 1, in as few bits as they need, and 0 stands after the text."""
+    used = np.bincount(text, minlength=256) > 0
+    bits = int(used.sum()).bit_length()
+    depth = 63 // bits
+    part = np.concatenate([np.cumsum(used).astype(np.uint64)[text], np.zeros(depth, np.uint64)])
+    key, have, k = None, 0, 1
+    while True:
+        if depth & k:  # the number of k letters goes before what there is
+            key = part if key is None else (part[:-have or None][:len(key) - k] << np.uint64(bits * have)) | key[k:]
+            have += k
+        k *= 2
+        if k > depth:
+            return key[:len(text)], depth
+        part = (part[:-k // 2] << np.uint64(bits * k // 2)) | part[k // 2:]
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """All suffixes of text in order, by Larsson-Sadakane refinement. It goes to the end, as Kasai's bound needs the full order."""
     n = len(text)
-    key = _words(text).byteswap(inplace=True)
+    if not n:
+        return np.empty(0, np.int64)
+    key, h = _first_letters(text)
     sa = np.argsort(key)
-    s = key[sa]
-    del key
-    ends = np.flatnonzero(np.append(s[1:] != s[:-1], True)) if n else np.empty(0, np.int64)
-    del s
-    size = np.diff(ends, prepend=-1)
-    rank = np.empty(n, np.int64)  # of a group: its last place
-    rank[sa] = np.repeat(ends, size)
+    key = key[sa]
+    last = np.flatnonzero(np.append(key[1:] != key[:-1], True))
+    size = np.diff(last, prepend=-1)
+    place = np.repeat(last, size)
+    rank = np.zeros(n + 1, np.int64)  # of a group: its last place, from 1; 0 is the rank of what is after the text
+    rank[sa] = place + 1
     open_ = np.flatnonzero(np.repeat(size > 1, size))
-    h = 8
+    own, place = sa[open_], place[open_]
+    bits = n.bit_length()
+    low = (1 << bits) - 1
     while len(open_):
-        own = sa[open_]
-        after = own + h
-        follow = rank[np.minimum(after, n - 1)] + 1
-        follow[after >= n] = 0
-        key = rank[own] * (n + 1) + follow
-        order = np.argsort(key)
-        own, key = own[order], key[order]
-        sa[open_] = own
+        if 3 * bits <= 63:  # all in one number sorts faster than an order does
+            key = (((place << bits) | rank[own + h]) << bits) | own
+            key.sort()
+            own = key & low
+            key >>= bits
+        else:
+            key = place * (n + 1) + rank[own + h]
+            order = np.argsort(key)
+            own, key = own[order], key[order]
         last = np.flatnonzero(np.append(key[1:] != key[:-1], True))
         size = np.diff(last, prepend=-1)
-        rank[own] = np.repeat(open_[last], size)
-        open_ = open_[np.repeat(size > 1, size)]
+        place = np.repeat(open_[last], size)
+        sa[open_] = own
+        rank[own] = place + 1
+        more = np.repeat(size > 1, size)
+        open_, own, place = open_[more], own[more], place[more]
         h *= 2
     return sa
 
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH) -> np.ndarray:
-    """Kasai: for each place in sa, the common prefix with the suffix before it, up to ``most``. Each lane walks its part
-    of the text, eight bytes a step; the prefix falls by at most one from one position to the next."""
+    """Kasai: for each place in sa, the common prefix with the suffix before it, up to ``most``. Where the byte before both
+    suffixes is equal, the prefix is that of the position before, less one; only the others are compared, in steps that double."""
     n = len(text)
     if not n:
         return np.zeros(0, np.uint8)
-    words = _words(text, most + 8)
-    before = np.full(n + 64, len(words))
-    before[sa[1:]] = sa[:-1]
-    # the first suffix has nothing before it, nor has what a lane reads past the end: no byte equal
-    words = np.append(words, np.uint64((int(text[sa[0]]) + 1) % 256))
-    step = -(-n // max(1, n // 512))
-    at = np.arange(0, n, step)
-    end = np.minimum(at + step, n)
-    h = np.zeros(len(at), np.int64)
-    out = np.zeros(n + 64, np.uint8)
-    one = np.uint64(1)
-    while len(at):
-        for _ in range(32):  # a lane that goes on past its end finds what the next one finds
-            differ = words[at + h] ^ words[before[at] + h]
-            equal = np.bitwise_count((differ & np.negative(differ)) - one) >> 3
-            h += equal
-            np.minimum(h, most, out=h)
-            done = (equal < 8) | (h == most)
-            out[at[done]] = h[done]
-            at += done
-            h -= done
-            np.maximum(h, 0, out=h)
-        live = at < end
-        at, end, h = at[live], end[live], h[live]
-    return out[:n][sa]
+    before = text[sa - 1]
+    ask = np.ones(n, bool)
+    ask[1:] = before[1:] != before[:-1]
+    first = int(np.flatnonzero(sa == 0)[0])
+    ask[first:first + 2] = True  # position 0 has nothing before it
+    ask = np.flatnonzero(ask)[1:]
+    a, b = sa[ask], sa[ask - 1]
+    words = _words(text)
+    differ = words[a] ^ words[b]
+    h = (np.bitwise_count((differ & np.negative(differ)) - np.uint64(1)) >> 3).astype(np.int64)
+    live = np.flatnonzero(h == 8)
+    wide, padded = 16, np.concatenate([text, np.zeros(4096, np.uint8)])
+    longest = n - np.maximum(a, b)
+    while len(live):
+        rows, going = np.lib.stride_tricks.sliding_window_view(padded, wide), []
+        for k in range(0, len(live), (1 << 20) // wide):  # the arrays of one step stay small
+            own = live[k:k + (1 << 20) // wide]
+            differ = rows[a[own] + h[own]] != rows[b[own] + h[own]]
+            equal = differ.argmax(axis=1)
+            equal[~differ[np.arange(len(own)), equal]] = wide
+            h[own] += equal
+            going.append(own[(equal == wide) & (h[own] < longest[own])])
+        live = np.concatenate(going)
+        wide = min(2 * wide, 4096)
+    np.minimum(h, longest, out=h)
+    end = np.zeros(n, np.int64)
+    end[a] = a + h
+    end[sa[0]] = sa[0]
+    end = np.maximum.accumulate(end)  # where a common prefix ends never falls from one position to the next
+    end -= np.arange(n)
+    return np.minimum(end, most, out=end).astype(np.uint8)[sa]
 
 
 class Run:
@@ -359,23 +425,26 @@ class Run:
 
     def __init__(self, text: np.ndarray, order: np.ndarray):
         sa = suffix_array(text)
-        new = common_prefixes(text, sa) < LENGTH
+        same = common_prefixes(text, sa) >= LENGTH
         own = order[sa]
-        windows = np.flatnonzero(own >= 0)
-        group = np.cumsum(new)[windows]
-        sa, own = sa[windows], own[windows]
+        kept = own >= 0
         self.repeats = np.zeros(len(text), bool)
-        self.heads = sa
-        if len(sa):
+        alike = same.copy()  # suffixes of groups of two and more
+        alike[:-1] |= same[1:]
+        alike = np.flatnonzero(alike)
+        group = np.cumsum(~same[alike])
+        windows = kept[alike]
+        alike, group = alike[windows], group[windows]
+        if len(alike):
+            own = own[alike]
             cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-            size = np.diff(np.append(cuts, len(sa)))
-            alike = np.flatnonzero(np.repeat(size > 1, size))
-            if len(alike):
-                least = np.repeat(np.minimum.reduceat(own, cuts), size)
-                self.repeats[sa[alike[own[alike] > least[alike]]]] = True
-                earliest = np.flatnonzero(own == least)
-                _, at = np.unique(group[earliest], return_index=True)  # places may stand in text twice
-                self.heads = sa[earliest[at]]
+            least = np.repeat(np.minimum.reduceat(own, cuts), np.diff(np.append(cuts, len(own))))
+            self.repeats[sa[alike[own > least]]] = True
+            earliest = np.flatnonzero(own == least)
+            _, at = np.unique(group[earliest], return_index=True)  # places may stand in text twice
+            kept[alike] = False
+            kept[alike[earliest[at]]] = True
+        self.heads = sa[kept]
 
 
 def _search(data: np.ndarray, heads: np.ndarray, ask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -458,23 +527,20 @@ def _merge(held: Segments, run_bytes: int):
     alone, own = _joined([held.pick(alone), own.pick(early[~many])]), own.pick(early[many])
     if not len(own.size):
         return alone
-    begin = np.cumsum(own.size) - own.size
-    place = np.repeat(np.arange(len(own.size), dtype=np.int32), own.size)
-    offset = np.arange(len(own.data)) - begin[place]
-    order = ((_ranks(own.doc_id, own.doc_key) << 32) + own.pos)[place] + offset
-    order[offset > own.size[place] - LENGTH] = -1
-    del offset
-    cuts, ends = [0], begin + own.size
+    ends = np.cumsum(own.size)
+    begin = ends - own.size
+    order = _order((_ranks(own.doc_id, own.doc_key) << 32) + own.pos, begin, own.size)
+    cuts = [0]
     while cuts[-1] < len(own.data):
         cuts.append(max(int(ends[np.searchsorted(ends, cuts[-1] + run_bytes, side="right") - 1]), int(ends[np.searchsorted(ends, cuts[-1], side="right")])))
     merged_ = Merge(own.data, order, cuts)
     first, after = _edges(merged_.repeats)
-    k = place[first]
+    k = np.searchsorted(ends, first, side="right")
     yield own.doc_id[k], own.doc_key[k], own.pos[k] + first - begin[k], own.pos[k] + after - begin[k]
     left = np.zeros(len(own.data), bool)
     left[merged_.heads] = True
     first, after = _edges(left)
-    k = place[first]
+    k = np.searchsorted(ends, first, side="right")
     size = after - first + LENGTH - 1
     rest = Segments(own.gram[k], size, own.anchor[k] - (first - begin[k]), own.doc_id[k], own.doc_key[k], own.pos[k] + first - begin[k], _take(own.data, first, size))
     return _joined([alone, rest])

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -45,6 +46,41 @@ def test_suffix_array_and_prefixes():
             assert got[k] >= want if max(sa[k], sa[k - 1]) + 100 > n else got[k] == want
 
 
+def test_zero_bytes_at_the_end():
+    r = np.random.default_rng(7)
+    for k in range(60):
+        t = r.integers(0, (1, 2, 256)[k % 3], int(r.integers(2, 600))).astype(np.uint8)
+        t[-1 - k:] = 0
+        sa, b = S.suffix_array(t), t.tobytes()
+        assert sa.tolist() == sorted(range(len(t)), key=lambda at: b[at:])
+        got = S.common_prefixes(t, sa)
+        for x, y, h in zip(sa[1:], sa[:-1], got[1:]):
+            assert b[x:x + h] == b[y:y + h] and (h == min(100, len(t) - max(x, y)) or b[x + h] != b[y + h])
+
+
+def test_common_prefixes_cost_no_more_than_the_order():
+    r = np.random.default_rng(8)
+    texts = [np.frombuffer(b" ".join(r.choice([b"alpha", b"beta", b"gamma", b"delta", b"x"], 700).tolist()), np.uint8) for _ in range(20)]
+    texts.append(np.concatenate([texts[0], texts[1], texts[0]]))
+
+    def seconds(f):
+        took = []
+        for _ in range(3):
+            began = time.process_time()
+            f()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    arrays = [S.suffix_array(t) for t in texts]
+    order = seconds(lambda: [S.suffix_array(t) for t in texts])
+    assert seconds(lambda: [S.common_prefixes(t, sa) for t, sa in zip(texts, arrays)]) < 3 * order
+
+
+def test_grams_of_places():
+    data = np.random.default_rng(6).integers(0, 256, 9000).astype(np.uint8)
+    assert (S._grams(data, np.arange(3, 8900)) == S.gram_hashes(data)[3:8900]).all()
+
+
 def cases():
     r = np.random.default_rng(2)
     words = ["".join(chr(97 + c) for c in r.integers(0, 26, r.integers(2, 9))) for _ in range(300)] + ["é", "straße"]
@@ -178,3 +214,11 @@ def test_dictionary_changes_no_result(spark):
     assert spans[0] == spans[1] and spans[0]
     kept = {r.row.doc_id: bytes(r.kept) for r in S.remove_repeats(docs, 5).collect()}
     assert len(kept) == len(texts) and kept[150] == b"" and kept[0] == texts[0].encode()
+
+
+def test_documents_that_end_in_zero_bytes(spark):
+    r = np.random.default_rng(11)
+    same = " ".join(str(x) for x in r.integers(0, 10**9, 40))
+    docs = [(1, same + "\0" * 3), (2, "a" + same + "\0\0"), (3, "\0" * 250), (4, same[:150] + "\0" * 120)]
+    got = {x.row.doc_id: ([(s.start, s.stop) for s in x.removed], bytes(x.kept)) for x in S.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: (runs, kept) for d, runs, kept in plain(docs)}
