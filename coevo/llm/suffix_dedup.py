@@ -263,12 +263,7 @@ class Segments(NamedTuple):
 
 
 def _joined(parts: list[Segments]) -> Segments:
-    """All segments of the parts; those that have no grams yet come last and get them."""
-    own = Segments(*(np.concatenate(x) for x in zip(*parts))) if len(parts) != 1 else parts[0]
-    known = len(own.gram)
-    if known == len(own.size):
-        return own
-    return own._replace(gram=np.concatenate([own.gram, _grams(own.data, (np.cumsum(own.size) - own.size + own.anchor)[known:])]))
+    return Segments(*(np.concatenate(x) for x in zip(*parts))) if len(parts) != 1 else parts[0]
 
 
 def _grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -289,22 +284,31 @@ def _grams(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _unpack(raw: bytes) -> Segments:
-    """The segments of a blob, their grams left out."""
-    n, docs = struct.unpack_from("<2I", raw, 1)
-    at = 9
-
-    def read(kind: str, count: int):
-        nonlocal at
-        out = np.frombuffer(raw, kind, count, at)
-        at += out.nbytes
-        return out
-
-    size, anchor = read("u1", n).astype(np.int64), read("u1", n).astype(np.int64)
-    doc, pos = np.cumsum(read("u1", n), dtype=np.int64), np.cumsum(read("<u4", n), dtype=np.uint32).astype(np.int64)
-    ids, keys = np.cumsum(read("<i8", docs)), read("<u4", docs).astype(np.int64)
-    data = np.frombuffer(raw, np.uint8, len(raw) - at, at)
-    return Segments(np.empty(0, np.uint64), size, anchor, ids[doc], keys[doc], pos, data)
+def _summed(steps: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """What ``_steps`` was made from, of parts of the given sizes that stand one after the other."""
+    out = np.cumsum(steps, dtype=steps.dtype)
+    return out - np.repeat(out[begins] - steps[begins], sizes)
+
+
+def _unpack(blobs: list[bytes]) -> Segments:
+    """The segments of all blobs, read together, as there may be many with few segments."""
+    fields: list[list[bytes]] = [[] for _ in range(7)]
+    counts = []
+    for raw in blobs:
+        n, docs = counts_ = struct.unpack_from("<2I", raw, 1)
+        counts.append(counts_)
+        at = 9
+        for field, size in zip(fields, (n, n, n, 4 * n, 8 * docs, 4 * docs, len(raw))):
+            field.append(raw[at:at + size])
+            at += size
+    size, anchor, next_, pos, ids, keys, data = (np.frombuffer(b"".join(x), kind) for x, kind in zip(fields, ("u1", "u1", "u1", "<u4", "<i8", "<u4", "u1")))
+    n, docs = np.array(counts, np.int64).T
+    begins = np.cumsum(n) - n
+    doc = np.cumsum(next_, dtype=np.int64) + np.repeat(np.arange(len(blobs)), n)  # a blob's first segment has a step of 0
+    ids = _summed(ids, np.cumsum(docs) - docs, docs)
+    size, anchor = size.astype(np.int64), anchor.astype(np.int64)
+    gram = _grams(data, np.cumsum(size) - size + anchor)
+    return Segments(gram, size, anchor, ids[doc], keys[doc].astype(np.int64), _summed(pos, begins, n).astype(np.int64), data)
 
 
 def _unpack_spans(raw: bytes):
@@ -549,21 +553,27 @@ def _merge(held: Segments, run_bytes: int):
 def shard_repeats(blobs, run_bytes: int = RUN_BYTES, merge_bytes: int = MERGE_BYTES, words: bytes = b""):
     """(doc_id, doc_key, first window, after last window) arrays of all windows of a merge task that repeat an earlier one."""
     press = _unpress(words)
-    held: list[Segments] = []
+    left: list[Segments] = []
+    held: list[bytes] = []
     size, most = 0, merge_bytes
     for blob in blobs:
         raw = press.decompress(blob)
         if raw[:1] == b"S":
             yield _unpack_spans(raw)
             continue
-        held.append(_unpack(raw))
-        size += len(held[-1].data)
+        held.append(raw)
+        n, docs = struct.unpack_from("<2I", raw, 1)
+        size += len(raw) - 9 - 7 * n - 12 * docs  # bytes of strings
         if size > most:
-            left = yield from _merge(_joined(held), run_bytes)
-            held, size = [left], len(left.data)
+            new, held = _unpack(held), []
+            left = [(yield from _merge(_joined([*left, new]), run_bytes))]
+            del new
+            size = len(left[0].data)
             most = max(merge_bytes, 2 * size)
     if held:
-        yield from _merge(_joined(held), run_bytes)
+        left.append(_unpack(held))
+    if left:
+        yield from _merge(_joined(left), run_bytes)
 
 
 def _pieces(batches, block_bytes: int):
